@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosssplit, history, lookalike, neardup
+from . import crosssplit, history, langid, lookalike, neardup, sharedspans
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -29,6 +29,31 @@ def p2_confusable_tokens(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.token_report(_read(spark, d, "final_data"), "review_id", "review_description")
 
 
+def _languages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(documents with their segments, splits with their language), each beside the given label."""
+    docs, splits = _read(spark, d, "documents"), _read(spark, d, "splits")
+    table = langid.fit(docs, "text", "lang")
+    return langid.detect_lines(docs, "doc_id", "text", table, "lang"), langid.detect(splits, "row_id", "text", table, "dialect", "text")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    docs, splits = _languages(spark, d)
+    named = langid.canonical_label(F.col("given"))
+    wrong = docs.where((F.col("seg_no") > 0) | named.isNull() | (named != F.col("lang")))
+    blank = F.trim(F.coalesce("dialect", F.lit(""))) == ""
+    meant = F.when(F.lower(F.trim("dialect")) == "arabizi", "ar-latn").otherwise("ar")
+    words = F.size(F.filter(F.split("text", r"(?U)\s+"), lambda w: w != ""))
+    off = splits.where((words >= 5) & (blank | (meant != F.col("lang"))))
+    return wrong.where("lang IS NOT NULL").select(F.lit("documents").alias("origin"), "record_id", "seg_no", "lang").unionByName(
+        off.where("lang IS NOT NULL").select(F.lit("splits").alias("origin"), "record_id", F.lit(0).cast("long").alias("seg_no"), "lang"))
+
+
+def p3_languages(spark: SparkSession, d: str) -> DataFrame:
+    docs, splits = _languages(spark, d)
+    return docs.select(F.lit("documents").alias("origin"), "record_id", "seg_no", "lang", F.round("confidence", 6).alias("confidence")).unionByName(
+        splits.select(F.lit("splits").alias("origin"), "record_id", F.lit(0).cast("long").alias("seg_no"), "lang", F.round("confidence", 6).alias("confidence")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicate_pairs(_read(spark, d, "final_data"), "review_id", "review_description")
 
@@ -51,6 +76,19 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
         _read(spark, d, "train_feedback"), "override_id", "text", DAY.format("substr(captured_at, 1, 10)")).select("feedback_row", "override_id")
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return sharedspans.Shared(_read(spark, d, "documents"), "doc_id", "text").pairs()
+
+
+def p10_coverage(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read(spark, d, "documents")
+    return sharedspans.Shared(docs, "doc_id", "text").coverage(docs, "text")
+
+
+def p10_spans(spark: SparkSession, d: str) -> DataFrame:
+    return sharedspans.Shared(_read(spark, d, "documents"), "doc_id", "text").spans().withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(f)}
 
