@@ -39,7 +39,7 @@ DIMENSIONS, SEED = 4096, 7
 #: Scale of the soft-max, set so that confidences are near 1 for a short sentence.
 SHARPNESS = 25.0
 #: Share by which a line's best language must lead the document's own before the line counts as another language.
-LEAD = 0.90
+LEAD = 0.60
 
 # Names of the languages beside their codes.
 NAMES = {
