@@ -103,7 +103,7 @@ def _tables() -> dict[str, object]:
 
 _FOREIGN = re.compile("[Ͱ-ϿЀ-ԯ]")
 _TOKEN = re.compile(r"[^\W\d_؀-ۿ]+")
-_MORE = "(?=[ً-ٰٟ]*[ؠ-ؿف-يٮ-ۓە])"
+_MORE = "(?=[\u064b-\u065f\u0670]*[ؠ-ؿف-يٮ-ۓە])"
 _PERSIAN_ANY = re.compile(f"[{PERSIAN_DIGITS}کی]")
 _ARABIC_TOKEN = re.compile("[ؠ-ٟٮ-ەۮۯ]+")
 _PERSIAN_MARK = re.compile(f"[{PERSIAN_ONLY}]")
@@ -155,7 +155,7 @@ def _persian_token(m: re.Match) -> str:
         return token
     token = re.sub(KEHEH_BEFORE_LETTER[1] + _MORE, KEHEH_BEFORE_LETTER[0], token)
     token = re.sub(YEH_BEFORE_LETTER[1] + _MORE, YEH_BEFORE_LETTER[0], token)
-    return re.sub(YEH_AT_END[1] + "(?![ً-ٰٟ]*[ؠ-ؿف-يٮ-ۓە])", YEH_AT_END[0], token)
+    return re.sub(YEH_AT_END[1] + "(?![\u064b-\u065f\u0670]*[ؠ-ؿف-يٮ-ۓە])", YEH_AT_END[0], token)
 
 
 def unify_text(text: str | None) -> str | None:

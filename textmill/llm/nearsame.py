@@ -38,7 +38,7 @@ from .lookalike import unify_text
 MIN_WORDS = 12
 THRESHOLD = 0.75
 
-_MARKS = re.compile("[ً-ٰٟ]")
+_MARKS = re.compile("[\u064b-\u065f\u0670]")
 _RUNS = re.compile(r"(.)\1{2,}", re.S)
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

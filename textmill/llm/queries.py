@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosssplit, history, langid, lookalike, neardup, sharedspans
+from . import crosssplit, history, langid, lookalike, neardup, pii, sharedspans
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -32,7 +32,7 @@ def p2_confusable_tokens(spark: SparkSession, d: str) -> DataFrame:
 def _languages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(documents with their segments, splits with their language), each beside the given label."""
     docs, splits = _read(spark, d, "documents"), _read(spark, d, "splits")
-    table = langid.fit(docs, "text", "lang")
+    table = langid.fit(docs, "text", "lang", "doc_id")
     return langid.detect_lines(docs, "doc_id", "text", table, "lang"), langid.detect(splits, "row_id", "text", table, "dialect", "text")
 
 
@@ -62,6 +62,18 @@ def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicate_groups(_read(spark, d, "final_data"), "review_id", "review_description")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found_kinds(_read(spark, d, "feedback"), "feedback_row", "text", "note")
+
+
+def p5_spans(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found_spans(_read(spark, d, "feedback"), "feedback_row", "text", "note")
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redacted(_read(spark, d, "feedback").select("feedback_row", "text", "note"), "text", "note")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return crosssplit.cross_pairs(_read(spark, d, "splits"), "row_id", "text", "split = 'train'")
 
