@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosssplit, history, langid, lookalike, neardup, pii, sharedspans
+from . import consensus, crosssplit, history, langid, lookalike, neardup, pii, sharedspans
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -17,6 +17,26 @@ def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
 DAY = "datediff(to_date({}), date'1970-01-01')"
 
 
+def _consensus(spark: SparkSession, d: str) -> consensus.Consensus:
+    feedback, overrides = _read(spark, d, "feedback"), _read(spark, d, "overrides")
+    item = F.col("review_id").alias("item")
+    raw = feedback.select(item, F.col("agent_id").alias("agent"), F.col("corrected_label").alias("label")).unionByName(
+        overrides.select(item, F.col("second_agent_id").alias("agent"), F.col("second_label").alias("label")))
+    return consensus.Consensus(consensus.votes_of(raw, overrides.select(item, F.col("adjudicated_label").alias("label"))))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _consensus(spark, d).items().where("agents >= 3 AND labels > 1").select(F.col("item").alias("review_id"), "label")
+
+
+def p1_consensus(spark: SparkSession, d: str) -> DataFrame:
+    return _consensus(spark, d).items().withColumns({c: F.round(c, 6) for c in ("probability", "agreement")}).withColumnRenamed("item", "review_id")
+
+
+def p1_agents(spark: SparkSession, d: str) -> DataFrame:
+    return _consensus(spark, d).agents().withColumns({c: F.round(c, 6) for c in ("accuracy", "error_bound", "weight")}).withColumnRenamed("agent", "agent_id")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.lookalike_pairs(_read(spark, d, "final_data"), "review_id", "review_description")
 
