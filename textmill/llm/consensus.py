@@ -74,7 +74,7 @@ class Consensus:
         table = written(votes, "votes")
         self.votes = table.repartition(parts, "item").persist()  # every round works within items: no further shuffle of the votes
         share = [F.avg((F.col("lab") == t).cast("double")).over(self._window()) for t in range(k)]
-        soft = self.votes.select("item", "agent", "lab", "ruled", F.count(F.lit(1)).over(self._window()).alias("n"), *(((s + 0.1 / F.greatest(F.lit(1), k)) / 1.1).alias(f"q{t}") for t, s in enumerate(share)))
+        soft = self.votes.select("item", "agent", "lab", "ruled", F.count(F.lit(1)).over(self._window()).alias("n"), *(((s + 0.1 / k) / 1.1).alias(f"q{t}") for t, s in enumerate(share)))
         self.params = self._fit(soft)
         for _ in range(rounds - 1):
             self.params = self._fit(self._soft(self.params))
