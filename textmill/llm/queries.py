@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import consensus, crosssplit, history, langid, lookalike, neardup, pii, sharedspans
+from . import consensus, crosssplit, history, langid, lookalike, mixing, neardup, packing, pii, sharedspans, tokens
+from .store import written
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -108,6 +109,43 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
         _read(spark, d, "train_feedback"), "override_id", "text", DAY.format("substr(captured_at, 1, 10)")).select("feedback_row", "override_id")
 
 
+def _sizes(spark: SparkSession, d: str, *keep: str) -> DataFrame:
+    counted = tokens.token_counts(_read(spark, d, "documents"), "text", "doc_id", *keep)
+    return written(counted.withColumnRenamed("doc_id", "id"), "tokens")
+
+
+def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    kinds = _read(spark, d, "containers").select(F.col("container_kind").alias("kind"), F.col("capacity_tokens").alias("capacity"))
+    return packing.packed(_sizes(spark, d), kinds), kinds
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d)[0].select(F.col("kind").alias("container_kind"), "container", F.col("id").alias("doc_id"), F.col("piece").alias("piece_no"), F.col("length").alias("tokens"))
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    filled, kinds = _packed(spark, d)
+    return packing.containers(filled, kinds).withColumnRenamed("kind", "container_kind")
+
+
+def p8_unused(spark: SparkSession, d: str) -> DataFrame:
+    filled, kinds = _packed(spark, d)
+    per = packing.containers(filled, kinds).groupBy("kind").agg(F.count(F.lit(1)).alias("containers"), F.sum("pieces").alias("pieces"), F.sum("used").alias("used_tokens"), F.sum("unused").alias("unused_tokens"))
+    return per.select(F.col("kind").alias("container_kind"), "containers", "pieces", "used_tokens", "unused_tokens", F.round(F.col("unused_tokens") / (F.col("used_tokens") + F.col("unused_tokens")), 6).alias("unused_part"))
+
+
+def _mix(spark: SparkSession, d: str) -> mixing.Mix:
+    return mixing.Mix(_sizes(spark, d, "source"), _read(spark, d, "mix_targets"))
+
+
+def p9_draw(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).draw().withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).shares()
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sharedspans.Shared(_read(spark, d, "documents"), "doc_id", "text").pairs()
 
