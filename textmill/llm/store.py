@@ -1,28 +1,5 @@
-"""Tables written in the shared folder, to cut lineage and to compute a stage once."""
+"""Tables written in the shared folder (see ``textmill.sources.store``)."""
 
-from __future__ import annotations
+from ..sources.store import shared_folder, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where the session names none (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="textmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as a table in the shared folder and read again.
-
-    A lost executor costs nothing beyond its running tasks: what was written stays.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_folder", "written"]
