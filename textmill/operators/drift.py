@@ -72,7 +72,7 @@ def verdict(scores: DataFrame) -> DataFrame:
 
 def total_variation(df: DataFrame, is_reference: Column, column: str) -> DataFrame:
     """One row: half the sum of the absolute differences of the shares of all values, ``tvd``."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count_if(is_reference).alias("r"), F.count_if(~is_reference).alias("c"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__value")).agg(F.count_if(is_reference).alias("r"), F.count_if(~is_reference).alias("c"))
     total = counts.agg(F.sum("r").alias("tr"), F.sum("c").alias("tc"))
     return counts.crossJoin(F.broadcast(total)).agg(F.round(F.sum(F.abs(F.coalesce(F.try_divide("r", "tr"), F.lit(0.0)) - F.coalesce(F.try_divide("c", "tc"), F.lit(0.0)))) / 2, 6).alias("tvd"))
 

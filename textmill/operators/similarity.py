@@ -57,16 +57,16 @@ def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all character trigrams (texts padded by one on either side), and where each text's begin."""
-    code = np.frombuffer("".join(f"\x02{t}\x03" for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    """Hashes of all character trigrams (texts padded by two before and one after), and where each text's begin."""
+    code = np.frombuffer("".join(f"\x01\x02{t}\x03" for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     size = np.array([len(t) for t in texts], np.int64)
-    begin = np.r_[0, np.cumsum(size + 2)[:-1]]
+    begin = np.r_[0, np.cumsum(size + 3)[:-1]]
     h = code[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ code[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ code[2:] * np.uint64(0x165667B19E3779F9)
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    count = np.maximum(size, 1)
+    count = size + 1
     first = np.r_[0, np.cumsum(count)[:-1]]
     where = np.repeat(begin - first, count) + np.arange(count.sum())
-    return h[np.minimum(where, len(h) - 1)], first
+    return h[where], first
 
 
 def banded(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
