@@ -49,23 +49,19 @@ def pack_histogram(counts: dict[int, int], capacity: int) -> list[tuple[int, tup
 
     for length in sorted(counts, reverse=True):
         left = counts[length]
-        while left:
+        while left > 0:
             while open_rooms and not room.get(-open_rooms[0]):
                 room.pop(-heapq.heappop(open_rooms), None)
             free = -open_rooms[0] if open_rooms else 0
             if free < length:
+                # a new pack is the shortest one, so it takes equal lengths until the next doesn't fit
                 times = capacity // length
                 whole, rest = divmod(left, times)
-                if times > 1 and whole and len(open_rooms) == 0:
+                if whole:
                     put(capacity - times * length, whole, ((length, times),))
-                    left = rest
-                    if rest:
-                        put(capacity - rest * length, 1, ((length, rest),))
-                        left = 0
-                else:
-                    put(capacity - length, left, ((length, 1),))
-                    left = 0
-                continue
+                if rest:
+                    put(capacity - rest * length, 1, ((length, rest),))
+                break
             number, content = room[free].pop()
             times = min(free // length, max(1, left // number))
             used = min(number, left // times)
