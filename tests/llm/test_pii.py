@@ -14,7 +14,7 @@ FOUND = [
     ("ساكن في ش الزنابق برج ٤٤ شقة ٢٨", "address"), ("شارع السنديان، عمارة ٩، شقة ١٩", "address"), ("حارة البيلسان منزل 153 خلف المخبز", "address"), ("Flat 26, 149 Sandrose Avenue", "address"),
     ("address: Thimble Rd, bldg 55, flat 18", "address"), ("deliver to 123 rue des Lilacs, porte 21", "address"), ("3omara 143 share3 Palmleaf sha2a 9", "address"), ("حي العوسج قطعة 171 فيلا 21", "address"),
     ("المستلم: لمياسة القنديلاني", "name"), ("my name is Adhamo Dorghamoui", "name"), ("spoke with Mr. Tarvik Qastouri", "name"), ("ask for K. Shamradi at the desk", "name"), ("انا سروان الزغبراوي وعايز رد", "name"),
-    ("كلمني أدهمان المنجدلاوي من الفرع", "name"), ("customer Zomra Toverfi called", "name"), ("أ/ حازون الطويرفي", "name"), ("Mme L. Harfoushan", "name"),
+    ("كلمني أدهمان المنجدلاوي من الفرع", "name"), ("customer Zomra Toverfi called", "name"), ("أ/ حازون الطويرفي", "name"), ("Mme L. Harfoushan", "name"), ("ana  esmy Sorwan Toverfi el", "name"), ("x  (at) example.com", "email"), ("2  650118 00 56410", "id_number"), ("since the invoice 26305080049075", "id_number"),
 ]
 NOT = ["order #5291371722", "طلب رقم 8904977075", "TRK-0438-90424084", "SKU 898761-329", "فاتورة 40373/4620", "v1.2.69", "int8-518e8363cbf8", "3835 جنيه", "2026-08-25", "@kafilo_cs", "Noorvia Express",
        "the street was blocked", "الشارع كان زحمة", "6546 the street was long", "item 12345678901234", "", "   ", "customer service called", "order #2800117007224"]

@@ -61,12 +61,15 @@ def _folds() -> tuple[dict[int, str], re.Pattern]:
 
 
 def fold(text: str) -> tuple[str, list[int] | None]:
-    """The text to search, and the place of each of its characters in the original (None: the same place)."""
-    if text.isascii():
-        return text, None
+    """The text to search, and the place of each of its characters in the original (None: the same place).
+    Runs of spaces are one."""
     one, odd = _folds()
-    if not odd.search(text):
-        return text.translate(one), None
+    if text.isascii() or not odd.search(text):
+        folded = text if text.isascii() else text.translate(one)
+        if "  " not in folded:
+            return folded, None
+        places = [i for i, c in enumerate(folded) if c != " " or i == 0 or folded[i - 1] != " "]
+        return "".join([folded[i] for i in places]), places
     out, places = [], []
     for i, ch in enumerate(text):
         if odd.match(ch):
@@ -76,7 +79,11 @@ def fold(text: str) -> tuple[str, list[int] | None]:
         else:
             out.append(ch)
             places.append(i)
-    return "".join(out).translate(one), places
+    folded = "".join(out).translate(one)
+    if "  " in folded:
+        keep = [i for i, c in enumerate(folded) if c != " " or i == 0 or folded[i - 1] != " "]
+        folded, places = "".join([folded[i] for i in keep]), [places[i] for i in keep]
+    return folded, places
 
 
 def luhn(digits: str) -> bool:
@@ -102,7 +109,7 @@ def _national(s: str) -> float:
     """A 14-digit national number holds the century and a birth date."""
     d = _digits(s)
     month, day = int(d[3:5]), int(d[5:7])
-    return 0.55 if d[0] in "23" and 1 <= month <= 12 and 1 <= day <= 31 else 0.0
+    return 0.8 if d[0] in "23" and 1 <= month <= 12 and 1 <= day <= 31 else 0.0
 
 
 def _residence(s: str) -> float:
@@ -140,7 +147,9 @@ def _any(*words: str) -> str:
 PHONE_WORDS = _any("tel", "phone", "call", "mob", "mobile", "whatsapp", "رقمي", "تليفون", "واتس", "موبايل", "كلموني", "جوال", "هاتف", "téléphone", "raqmi")
 ID_WORDS = _any("national id", r"nat\.? id", r"\bid\b", "iqama", "raqm qawmy", "الرقم القومي", "رقم قومي", "بطاقة", "هوية", "رقم الهوية", "اقامة", "carte d.identité")
 PASSPORT_WORDS = _any("passport", "passeport", "باسبور", "جواز سفر", "جواز")
-NOT_ITEMS = re.compile(_any("order", "invoice", "sku", "trk", "ref", "ticket", "طلب رقم", "فاتورة", "رقم الطلب", "شحنة رقم", "commande", "facture", "version") + r"[\s#:.\-]*$", re.I)
+NOT_ITEMS = re.compile(_any("order", "invoice", "sku", "trk", "ref", "ticket", "طلب رقم", "فاتورة", "رقم الطلب", "شحنة رقم", "commande", "facture", "version") + r"[\s#:.]*$", re.I)
+#: What such a word takes from the score: much where it stands as a heading of the number, less where it may end a sentence.
+HEADED, BARE = 0.5, 0.25
 _L = r"[A-Za-zÀ-ÖØ-öø-ÿ]"
 _A = r"[ء-غف-ي]"
 _LATIN_NAME = rf"(?:[A-ZÀ-Ö]\.|[A-ZÀ-Ö]{_L}+)\s+[A-ZÀ-Ö][A-Za-zÀ-ÖØ-öø-ÿ'\-]+"
@@ -196,8 +205,8 @@ def spans(text: str | None) -> list[tuple[int, int, str, float]]:
                 continue
             if rule.context is not None:
                 before = folded[max(0, a - BEFORE) : a]
-                if NOT_ITEMS.search(before):
-                    score -= 0.5
+                if m_not := NOT_ITEMS.search(before):
+                    score -= HEADED if re.search(r"[#:.]|رقم|sku|trk", m_not.group(), re.I) else BARE
                 elif rule.context.search(before) or rule.context.search(folded[b : b + AFTER]):
                     score += rule.bonus
             if score >= THRESHOLD - 1e-9:
