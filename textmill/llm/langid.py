@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import blocks
+
 LANGS = ("ar", "en", "fr", "fa", "ar-latn")
 #: At most so many labelled documents are read to make the profiles.
 SAMPLE = 3000
@@ -200,12 +202,11 @@ def detect(df: DataFrame, id_col: str, text: str, table: np.ndarray, *keep: str)
     sent = _fitted(df, table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                total, count = scores([t or "" for t in b.column(1).to_pylist()], sent.value)
-                best, sure = total.argmax(axis=1), confidence(total, count).max(axis=1)
-                langs = pa.array([LANGS[i] if n else None for i, n in zip(best, count)], pa.string())
-                yield pa.RecordBatch.from_arrays([b.column(0), *(b.column(2 + k) for k in range(len(keep))), langs, pa.array(np.where(count > 0, sure, 0.0))], names=schema.names)
+        for b in blocks(batches, 1):
+            total, count = scores([t or "" for t in b.column(1).to_pylist()], sent.value)
+            best, sure = total.argmax(axis=1), confidence(total, count).max(axis=1)
+            langs = pa.array([LANGS[i] if n else None for i, n in zip(best, count)], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), *(b.column(2 + k) for k in range(len(keep))), langs, pa.array(np.where(count > 0, sure, 0.0))], names=schema.names)
 
     schema = T.StructType([T.StructField("record_id", T.LongType()), *(T.StructField(k, df.schema[k].dataType) for k in keep), *T.StructType.fromDDL("lang string, confidence double").fields])
     return df.select(F.col(id_col).cast("long").alias("record_id"), F.col(text).alias("__text"), *keep).mapInArrow(run, schema)
@@ -217,9 +218,7 @@ def detect_lines(df: DataFrame, id_col: str, text: str, table: np.ndarray, label
     sent = _fitted(df, table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in blocks(batches, 1):
             lines, doc = [], []
             for i, t in enumerate(b.column(1).to_pylist()):
                 part = (t or "").split("\n")

@@ -24,7 +24,6 @@ Defined results: null -> null; '' -> ''; no length limit.
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterable
 
@@ -66,7 +65,7 @@ SAME_SHAPE = ("<wide>", "<narrow>", "<initial>", "<medial>", "<final>", "<isolat
 def _single_forms() -> dict[int, str | None]:
     """Code point -> replacement, from the Unicode data of this Python, by rule."""
     table: dict[int, str | None] = {}
-    for cp in range(0x80, sys.maxunicode + 1):
+    for cp in range(0x80, 0x30000):  # no character beyond has another form
         ch = chr(cp)
         kind, _, rest = unicodedata.decomposition(ch).partition(" ")
         category = unicodedata.category(ch)

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import blocks
 from .lookalike import unify_text
 
 MIN_WORDS = 12
@@ -117,10 +118,10 @@ def word_sets(df: DataFrame, id_col: str, text: str, *keep: str, min_words: int
     """One row per text of at least ``min_words`` words: ``id``, the kept columns and :data:`SETS`."""
     fields = [T.StructField("id", df.schema[id_col].dataType), *(T.StructField(k, df.schema[k].dataType) for k in keep)]
     schema = T.StructType([*fields, *T.StructType.fromDDL(SETS).fields])
-    names = schema.names
+    names, b_text = schema.names, len(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in blocks(batches, b_text):
             kept, n, e = element_arrays(b.column(b.num_columns - 1).to_pylist(), min_words)
             rows = pa.array(kept)
             yield pa.RecordBatch.from_arrays([*(b.column(i).take(rows) for i in range(b.num_columns - 1)), *set_columns(n, e)], names=names)

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import blocks
 from .nearsame import _starts, mix
 from .store import written
 
@@ -37,8 +38,6 @@ LENGTH, SEED_CHARS, HOT = 160, 64, 5000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _PLACE = np.uint64(2**28 - 1)
-#: Characters worked on at a time.
-BLOCK = 4_000_000
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -95,29 +94,18 @@ def super_kmers(texts: list[str], length: int, seed: int) -> tuple[np.ndarray, .
     return r[head], at[head] - begin[r[head]], np.diff(np.r_[head, len(at)]), h[place]
 
 
-def _blocks(texts: list[str | None], length: int) -> Iterator[tuple[list[int], list[str]]]:
-    """Texts long enough, a bounded number of characters at a time (a longer one is alone)."""
-    rows, part, size = [], [], 0
-    for i, t in enumerate(texts):
-        if t is None or len(t) < length:
-            continue
-        rows.append(i)
-        part.append(t)
-        size += len(t)
-        if size >= BLOCK:
-            yield rows, part
-            rows, part, size = [], [], 0
-    if rows:
-        yield rows, part
-
-
 def cut(df: DataFrame, length: int, seed: int) -> DataFrame:
     """``mh``, ``id``, ``start``, ``cnt`` of every super-k-mer of ``df(id, text)``."""
     schema = T.StructType([T.StructField("mh", T.LongType()), T.StructField("id", df.schema["id"].dataType), T.StructField("start", T.IntegerType()), T.StructField("cnt", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for rows, part in _blocks(b.column(1).to_pylist(), length):
+        for b in blocks(batches, 1):
+            rows, part = [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                if t is not None and len(t) >= length:
+                    rows.append(i)
+                    part.append(t)
+            if part:
                 r, start, cnt, mh = super_kmers(part, length, seed)
                 ids = b.column(0).take(pa.array(np.array(rows, np.int64)[r]))
                 yield pa.RecordBatch.from_arrays([pa.array(mh.view(np.int64)), ids, pa.array(start.astype(np.int32)), pa.array(cnt.astype(np.int32))], names=schema.names)
@@ -130,7 +118,7 @@ def pack(df: DataFrame, length: int) -> DataFrame:
     schema = T.StructType([T.StructField("mh", T.LongType()), T.StructField("id", df.schema["id"].dataType), T.StructField("start", T.IntegerType()), T.StructField("cnt", T.IntegerType()), T.StructField("s", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in blocks(batches, 1):
             rows, out = [], ([], [], [], [])
             for i, (t, runs) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
                 for x in runs:
