@@ -240,8 +240,11 @@ class Shared:
         of = self.packed.select("cid", "id").distinct()
         within = self.classes.where("low < high").select("cid").join(of, "cid").select(F.col("cid").alias("g"), "id")
         across = self.groups.select("wid", "cid").distinct().join(of, "cid").select(F.col("wid").alias("g"), "id").distinct()
-        both = within.unionByName(across)
-        a, b = both.select("g", F.col("id").alias("x")), both.select("g", F.col("id").alias("y"))
+        both = written(within.unionByName(across), "holders")
+        # pieces of one passage are held by the same records: one group per set of holders is enough
+        holders = both.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("y"))
+        once = both.join(holders.groupBy("n", "x", "y").agg(F.min("g").alias("g")).select("g"), "g", "left_semi")
+        a, b = once.select("g", F.col("id").alias("x")), once.select("g", F.col("id").alias("y"))
         return a.join(b, "g").where("x < y").select(F.col("x").alias(f"{self.id_col}_a"), F.col("y").alias(f"{self.id_col}_b")).distinct()
 
     def spans(self) -> DataFrame:
