@@ -160,3 +160,23 @@ def test_backward_search_counts():
         for b, y in enumerate(segs):
             want[(a, b)] = sum(x[i : i + 2] == y[j : j + 2] for i in range(len(x) - 1) for j in range(len(y) - 1))
     assert got == +want
+
+
+def test_kept_index(spark, tmp_path):
+    """Batches added one by one, in fresh objects: each finds what it repeats, arrays merge, files are only added."""
+    batches = [[(f"{k}-{i}", t) for i, t in enumerate(corpus(20 + k % 3, n=40, hot=8))] for k in range(5)]
+    path = str(tmp_path / "index")
+    seen = []
+    for k, b in enumerate(batches):
+        index = history.HistoryIndex(spark, path, shards=5)
+        df = spark.createDataFrame(b, "name string, text string")
+        got = {(r["name"], r["held"]) for r in index.check(df, "name", "text").collect()}
+        old = [x for c in seen for x in c]
+        want = {(b[i][0], old[j][0]) for i, j in brute([t for _, t in b], [t for _, t in old])}
+        assert got == want
+        index.add(df, "name", "text")
+        seen.append(b)
+        assert sorted(lv for lv, _ in index.live) == [i for i in range(4) if (k + 1) >> i & 1]
+    empty = history.HistoryIndex(spark, path)
+    assert empty.shards == 5 and empty.check(df.limit(0), "name", "text").count() == 0
+    empty.add(df.limit(0), "name", "text")

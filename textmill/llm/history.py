@@ -12,6 +12,10 @@ rebuilt when later days change word frequencies.  The work is split by hash rang
 elements, as for overlaps across splits: a task plays the days of its shard in order,
 batch first, then the day's accepted records as a new array.
 
+``repeated_rows`` answers many batches in one run.  ``HistoryIndex`` keeps the arrays on
+shared storage between runs: adding a batch writes one array per shard and merges arrays of
+one level; checking a batch reads the live arrays, and never the accepted texts again.
+
 Defined results: null, blank and short texts repeat nothing and are repeated by nothing;
 rows without a readable day are never taken as earlier, nor batches without a day as later.
 """
@@ -33,7 +37,7 @@ from .store import written
 class Segment:
     """An immutable suffix array of one or more days' stretches."""
 
-    def __init__(self, table: pa.Table, level: int = 0):
+    def __init__(self, table: pa.Table, level: int = 0, order: np.ndarray | None = None):
         self.table, self.level = table, level
         self.of = s = Stretches(table)
         rows = len(s.cls)
@@ -44,11 +48,23 @@ class Segment:
         self.row_of = np.empty(len(text), np.int64)
         self.row_of[at] = s.row
         self.row_of[s.off[1:] + np.arange(rows)] = np.arange(rows)
-        order = suffix_array(text)
-        order = order[rows:]  # without the suffixes that start at an end mark
+        if order is None:
+            order = suffix_array(text)[rows:]  # without the suffixes that start at an end mark
         self.order, self.text = order, text
         self.head = pair_key(text[order], text[order + 1])
 
+    def dump(self) -> tuple[bytes, bytes]:
+        """The stretches and their suffix order, to be kept."""
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, self.table.schema) as w:
+            w.write_table(self.table)
+        return sink.getvalue().to_pybytes(), self.order.astype(np.int64).tobytes()
+
+    @staticmethod
+    def load(stretches: bytes, order: bytes, level: int = 0) -> Segment:
+        with pa.ipc.open_stream(stretches) as r:
+            return Segment(r.read_all(), level, np.frombuffer(order, np.int64))
+
     def merge(self, other: Segment) -> Segment:
         return Segment(pa.concat_tables([self.table, other.table]), self.level + 1)
 
@@ -154,3 +170,126 @@ def repeated_rows(batch: DataFrame, batch_id: str, batch_text: str, batch_day: s
     left = members(bs, bc, "day").select(F.col("id").alias(batch_id), F.col("cls").alias("a"), F.col("day").alias("__bd"))
     right = members(hs, hc, "day", "__name").select(F.col("__name").alias(held_id), F.col("cls").alias("b"), F.col("day").alias("__hd"))
     return found.join(left, "a").join(right, "b").where("__hd < __bd").select(batch_id, held_id, "similarity")
+
+
+STRETCH = ("cls", "n", "s1", "s2", "seg")
+ARRAYS = "shard int, stretches binary, suffixes binary"
+
+
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shard of a partition sorted by shard: the array of all its stretches, or of all its arrays."""
+    shard, held = None, []
+
+    def row() -> pa.RecordBatch:
+        a, b = Segment(pa.concat_tables(held).combine_chunks()).dump()
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([a], pa.binary()), pa.array([b], pa.binary())], names=["shard", "stretches", "suffixes"])
+
+    for whole in batches:
+        if not whole.num_rows:
+            continue
+        keys = np.asarray(whole.column("shard"))
+        cut = np.r_[0, np.flatnonzero(np.diff(keys)) + 1, len(keys)]
+        for i, j in zip(cut[:-1], cut[1:]):
+            if shard is not None and keys[i] != shard and held:
+                yield row()
+                held = []
+            shard = int(keys[i])
+            part = whole.slice(i, j - i)
+            if "seg" in part.schema.names:
+                held.append(pa.Table.from_batches([part]).select(list(STRETCH)))
+            else:
+                held += [Segment.load(x, y).table for x, y in zip(part.column("stretches").to_pylist(), part.column("suffixes").to_pylist())]
+    if held:
+        yield row()
+
+
+def _lookup(threshold: float):
+    """For a partition sorted by shard and side: load the kept arrays (side 0), stream the batch (side 1) through them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, log = None, []
+        for whole in batches:
+            if not whole.num_rows:
+                continue
+            key = np.asarray(whole.column("shard")).astype(np.int64) * 2 + np.asarray(whole.column("side"))
+            cut = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
+            for i, j in zip(cut[:-1], cut[1:]):
+                part = whole.slice(i, j - i)
+                if shard != key[i] // 2:
+                    shard, log = key[i] // 2, []
+                if key[i] % 2 == 0:
+                    log += [Segment.load(x, y) for x, y in zip(part.column("stretches").to_pylist(), part.column("suffixes").to_pylist())]
+                elif log:
+                    q = Stretches(part)
+                    yield merged([x for seg in log for x in seg.search(q, threshold)])
+
+    return run
+
+
+class HistoryIndex:
+    """Suffix arrays of everything accepted so far, kept under ``path`` between runs.
+
+    ``add`` takes one accepted batch; ``check`` finds what a batch repeats.  Files are only ever added:
+    a manifest of the live arrays gets a new version once its files are complete, so a run that dies
+    leaves the version before, and adding the batch again writes over what it left.  ``shards`` and the hot words are fixed when the index is made."""
+
+    def __init__(self, spark, path: str, shards: int = 64, threshold: float = THRESHOLD, min_words: int = MIN_WORDS):
+        self.spark, self.path, self.threshold, self.min_words = spark, path.rstrip("/"), threshold, min_words
+        self.version, self.live, self.shards, self.hot = 0, [], shards, None
+        try:
+            rows = spark.read.parquet(f"{self.path}/manifest").collect()  # a row a version and array
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            rows = []
+        if rows:
+            self.version = max(r["version"] for r in rows)
+            now = [r for r in rows if r["version"] == self.version]
+            self.live = sorted((r["level"], r["name"]) for r in now)
+            self.shards, self.hot = now[0]["shards"], list(now[0]["hot"])
+
+    def _sets(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
+        named = df.select(F.xxhash64(F.col(id_col).cast("string")).alias("__hid"), F.col(id_col).cast("string").alias("name"), F.col(text).alias("__t"))
+        return written(word_sets(named, "__hid", "__t", "name", min_words=self.min_words), "sets")
+
+    def _commit(self, live: list[tuple[int, str]]) -> None:
+        rows = [(self.version + 1, level, name, self.shards, self.hot) for level, name in live]
+        self.spark.createDataFrame(rows, "version int, level int, name string, shards int, hot array<long>").coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        self.version, self.live = self.version + 1, sorted(live)
+
+    def add(self, df: DataFrame, id_col: str, text: str) -> None:
+        """Accept a batch: its array, its classes and their rows are written, then equal levels merged."""
+        name = f"{self.version + 1:08d}"
+        sets = self._sets(df, id_col, text)
+        cls = written(classes(sets), "classes")
+        if self.hot is None:
+            self.hot = hot_elements(cls, self.shards)
+        cls.select("cls", "elems").write.mode("overwrite").parquet(f"{self.path}/classes/{name}")
+        members(sets, cls, "name").select("cls", "name").write.mode("overwrite").parquet(f"{self.path}/members/{name}")
+        rows = segments(cls, 0, self.shards, self.hot)
+        rows.repartitionById(self.shards, F.col("shard")).sortWithinPartitions("shard").mapInArrow(_arrays, ARRAYS).write.mode("overwrite").parquet(f"{self.path}/arrays/{name}")
+        live, level, made = list(self.live), 0, name
+        while any(lv == level for lv, _ in live):
+            other = next(n for lv, n in live if lv == level)
+            both = self.spark.read.parquet(f"{self.path}/arrays/{made}", f"{self.path}/arrays/{other}")
+            made = f"{name}-{level + 1}"
+            both.repartitionById(self.shards, F.col("shard")).sortWithinPartitions("shard").mapInArrow(_arrays, ARRAYS).write.mode("overwrite").parquet(f"{self.path}/arrays/{made}")
+            live.remove((level, other))
+            level += 1
+        self._commit([*live, (level, made)])
+
+    def check(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
+        """``id_col`` (as a string), ``held`` and ``similarity``: what the batch repeats of everything accepted."""
+        if not self.live:
+            return self.spark.createDataFrame([], f"`{id_col}` string, held string, similarity double")
+        sets = self._sets(df, id_col, text)
+        cls = written(classes(sets), "classes")
+        kept = self.spark.read.parquet(*(f"{self.path}/arrays/{n}" for _, n in self.live)).withColumn("side", F.lit(0))
+        rows = kept.unionByName(segments(cls, 1, self.shards, self.hot), allowMissingColumns=True)
+        found = rows.repartitionById(self.shards, F.col("shard")).sortWithinPartitions("shard", "side").mapInArrow(_lookup(self.threshold), MATCHES)
+        pairs = found.groupBy("a", "b").agg(F.sum("spans").alias("spans"))
+        held = self.spark.read.parquet(f"{self.path}/classes/*")
+        both = verified(pairs, cls, held, self.threshold).select("a", "b", "similarity")
+        left = members(sets, cls, "name").select(F.col("name").alias(id_col), F.col("cls").alias("a"))
+        right = self.spark.read.parquet(f"{self.path}/members/*").select(F.col("name").alias("held"), F.col("cls").alias("b"))
+        return both.join(left, "a").join(right, "b").select(id_col, "held", "similarity")
