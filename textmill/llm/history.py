@@ -1,8 +1,9 @@
 """Deduplicating new batches against all history.
 
-Method: each accepted day becomes an immutable suffix array over the concatenated element
-sequences of its records (see ``nearsame``); arrays of one level are merged two at a time
-into one of the next, so a history of d days is at most log2(d) + 1 arrays.  A batch
+Method: what is accepted between two batches becomes an immutable suffix array over the
+concatenated element sequences of its records (see ``nearsame``); arrays are merged with
+the next one unless they are of a higher level (a power of two in size), so a history of n
+records is at most log2(n) + 1 arrays and each record is merged as often at most.  A batch
 binary-searches its substrings of two and more elements in every array of the days before
 it; the matches' coverage is aggregated per record, records whose sizes or sketches rule a
 pair out are dropped at once, and what is left is checked exactly.
@@ -65,9 +66,6 @@ class Segment:
         with pa.ipc.open_stream(stretches) as r:
             return Segment(r.read_all(), level, np.frombuffer(order, np.int64))
 
-    def merge(self, other: Segment) -> Segment:
-        return Segment(pa.concat_tables([self.table, other.table]), self.level + 1)
-
     def search(self, q: Stretches, threshold: float) -> Iterator[tuple[np.ndarray, ...]]:
         """Chunks of (query class, held class, length of the match from here on) for every shared substring of two elements."""
         start = np.flatnonzero(q.row[1:] == q.row[:-1])
@@ -111,15 +109,18 @@ def play(threshold: float):
     """For a partition sorted by shard, day and side (batch before history): answers batches from earlier days only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, day, fresh, log = None, None, [], []
+        shard, fresh, log = None, [], []
 
         def settle() -> None:
+            """What was accepted since the last batch becomes an array; arrays that are not larger are merged into it."""
             nonlocal fresh
             if fresh:
-                seg, fresh = Segment(pa.Table.from_batches(fresh)), []
-                while log and log[-1].level == seg.level:
-                    seg = log.pop().merge(seg)
-                log.append(seg)
+                table, fresh = pa.Table.from_batches(fresh), []
+                level = table.num_rows.bit_length()
+                while log and log[-1].level <= level:
+                    table = pa.concat_tables([log.pop().table, table])
+                    level = max(level, table.num_rows.bit_length())
+                log.append(Segment(table, level))
 
         for whole in batches:
             if not whole.num_rows:
@@ -129,15 +130,13 @@ def play(threshold: float):
             cut = np.r_[0, np.flatnonzero(new) + 1, whole.num_rows]
             for i, j in zip(cut[:-1], cut[1:]):
                 if shard != shards[i]:
-                    shard, day, fresh = shards[i], None, []
+                    shard, fresh = shards[i], []
                     log.clear()
-                if day != days[i]:
-                    settle()
-                    day = days[i]
                 part = whole.slice(i, j - i)
                 if sides[i] == 1:
                     fresh.append(part)
                     continue
+                settle()  # within a day the batch comes first, so all that is fresh is of earlier days
                 q = Stretches(part)
                 found = [x for seg in log for x in seg.search(q, threshold)]
                 yield merged(found)
