@@ -60,9 +60,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    """Hashes of the words of one batch, each computed once."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 def element_arrays(texts: list[str | None], min_words: int = MIN_WORDS):
     """Indices of the texts with enough words, element counts, and the flat ascending elements."""
-    cache: dict[str, int] = {}
+    hash_of = _WordHashes().__getitem__
     kept, lens, flat = [], [], []
     for i, t in enumerate(texts):
         if not t:
@@ -72,11 +80,7 @@ def element_arrays(texts: list[str | None], min_words: int = MIN_WORDS):
             continue
         kept.append(i)
         lens.append(len(words))
-        for w in words:
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = xxhash.xxh3_64_intdigest(w)
-            flat.append(h)
+        flat.extend(map(hash_of, words))
     n = np.array(lens, dtype=np.int64)
     h = np.array(flat, dtype=np.uint64)
     row = np.repeat(np.arange(len(n)), n)
