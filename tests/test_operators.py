@@ -221,3 +221,11 @@ def test_percentiles(spark):
 
 def test_all_pairs_of_small_ints_have_a_ratio():
     assert all(0 <= similarity.ratio(str(a), str(b)) <= 100 for a, b in itertools.combinations(range(50), 2))
+
+
+def test_written_tables_and_cleaning(spark):
+    from textmill.sources import store
+
+    df = store.written(spark.range(5), "t")
+    assert df.count() == 5 and store.clean(spark) and not store.clean(spark)
+    assert store.written(spark.range(3), "t").count() == 3

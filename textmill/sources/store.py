@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,20 +11,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where the session names none (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """This application's part of the folder in ``spark.checkpoint.dir``.
+
+    In local mode a temporary folder stands in where the session names none, and goes when Python ends.  On a
+    cluster a machine-local folder would not be shared, so there the setting is needed."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="textmill-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        made = tempfile.mkdtemp(prefix="textmill-")
+        atexit.register(shutil.rmtree, made, True)
+        folder = f"file://{made}"
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return f"{folder.rstrip('/')}/textmill-{sc.applicationId}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a table in the shared folder and read again.
 
-    A lost executor costs nothing beyond its running tasks: what was written stays.
-    """
+    A lost executor costs nothing beyond its running tasks: what was written stays."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> bool:
+    """Remove all that this application has written in the shared folder.  Results that read it must be used first."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
