@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import consensus, crosssplit, history, langid, lookalike, mixing, neardup, packing, pii, sharedspans, tokens
+from . import consensus, crosssplit, history, langid, lookalike, mixing, neardup, oracle, packing, pii, sharedspans, tokens
 from .store import written
 
 
@@ -164,4 +164,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
