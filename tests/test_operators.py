@@ -57,6 +57,36 @@ def test_fuzzy_on_empty_and_single(spark):
     assert similarity.fuzzy_keep_first(spark.createDataFrame([(1, ""), (2, "a")], "id long, text string")).count() == 2
 
 
+def test_insertion_only_pairs_are_all_found(spark):
+    """Scattered insertions at 90 to 91 leave few trigrams alike; short texts, copies of a length and two tables too."""
+    r = random.Random(7)
+    texts = []
+    for k in range(150):
+        base = "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=r.randint(5, 900 if k < 15 else 180)))
+        s = list(base)
+        for _ in range(max(1, int(len(base) / 4.5))):
+            s.insert(r.randrange(len(s) + 1), r.choice("xyz\u200b\u064b"))
+        texts += [base, "".join(s)]
+    texts = list(dict.fromkeys(["", *texts]))
+    want = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if similarity.ratio(texts[i], texts[j]) >= 90}
+    assert len(want) > 120
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    assert {(x["a"], x["b"]) for x in similarity.similar_pairs(df, 0.9).collect()} == want
+    held = df.select(F.concat(F.lit("h"), F.col("id")).alias("id"), "text")
+    both = want | {(j, i) for i, j in want} | {(i, i) for i in range(len(texts))}
+    assert {(x["a"], int(x["b"][1:])) for x in similarity.overlapping(df, held, 0.9).collect()} == both
+
+
+def test_blocks_meet_where_lengths_fit(monkeypatch, spark):
+    monkeypatch.setattr(similarity, "BLOCK", 3)
+    monkeypatch.setattr(similarity, "LEAST_BLOCK", 2)
+    r = random.Random(8)
+    texts = list(dict.fromkeys("".join(r.choices("ab", k=r.choice((9, 10, 10, 10, 11, 12)))) for _ in range(120)))
+    want = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if similarity.ratio(texts[i], texts[j]) >= 90}
+    got = [(x["a"], x["b"]) for x in similarity.similar_pairs(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), 0.9).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_keep_first_and_funnel(spark):
     df = spark.createDataFrame([(3, "a", "z"), (1, "a", "x"), (2, "b", "y")], "id long, text string, other string")
     assert rows(cleaning.keep_first(df, "text", "id")) == [(1, "a", "x"), (2, "b", "y")]
