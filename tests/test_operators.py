@@ -94,6 +94,16 @@ def test_keep_first_and_funnel(spark):
     assert tuple(f) == (4, 1, 1, 2, 1)
 
 
+def test_pipeline_counts_every_step(spark):
+    from textmill.plans import catalog
+
+    data = [(1, "One longer text to keep"), (2, "one longer text to keep"), (3, "one longer text to keeps"), (4, "hi"), (5, "HI"), (6, None), (7, "something else altogether")]
+    got = cleaning.pipeline(spark.createDataFrame(data, "id long, t string"), "t", "id").first().asDict()
+    assert got == {"raw_rows": 7, "null_text": 1, "near_empty_flagged": 2, "exact_removed": 2, "near_removed": 1, "final_rows": 3}
+    assert tuple(cleaning.pipeline(spark.createDataFrame([], "id long, t string"), "t", "id").first()) == (0,) * 6
+    assert catalog.FLAGSHIP == "clean_pipeline_metrics" and catalog.FLAGSHIP in catalog.queries()
+
+
 @pytest.mark.parametrize("text,want", [("انا عايز ده دلوقتي", "egyptian"), ("وايد زين هالحين", "gulf"), ("شو هيك بدي", "levantine"), ("واش بزاف مزيان", "maghrebi"), ("ana 3ayez", "arabizi"), ("هذا جيد", "msa"), (None, "msa")])
 def test_dialects(spark, text, want):
     r = dialect.tagged(spark.createDataFrame([(text,)], "t string"), "t").first()

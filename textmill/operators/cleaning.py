@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..sources.store import written
+from . import similarity
 
 
 def flags(df: DataFrame, text: str, near_empty_below: int = 10) -> DataFrame:
@@ -43,7 +45,9 @@ def keep_first(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
 
 
 def funnel(df: DataFrame, text: str, order: str) -> DataFrame:
-    """One row of counts: raw rows, null texts, near-empty ones, exact duplicates removed, rows left."""
+    """One row of counts up to exact deduplication: raw rows, null texts, exact duplicates removed, rows left, near-empty ones of them.
+
+    ``pipeline`` counts all steps."""
     n = normalized(df, text, order)
     counts = df.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.col(text).isNull()).alias("null_text"))
     per = n.groupBy("text").agg(F.count(F.lit(1)).alias("c"), F.min_by("is_near_empty", order).alias("e"))
@@ -51,6 +55,20 @@ def funnel(df: DataFrame, text: str, order: str) -> DataFrame:
     return counts.crossJoin(after).select("raw_rows", "null_text", (F.col("rows") - F.col("final_rows")).alias("exact_removed"), "final_rows", "final_near_empty")
 
 
+def pipeline(df: DataFrame, text: str, order: str, threshold: float = 0.9) -> DataFrame:
+    """One row of counts of the whole cleaning: raw rows, null texts, near-empty raw texts, exact and near duplicates removed, rows left.
+
+    Null texts are left out before all steps, so they count as nothing but null."""
+    n = written(normalized(df, text, order), "normalized")
+    first = written(keep_first(n.select(F.col(order).alias("id"), "text"), "text", "id"), "first")
+    kept = similarity.fuzzy_keep_first(first, threshold)
+    raw = df.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.col(text).isNull()).alias("null_text"))
+    noted = n.agg(F.count(F.lit(1)).alias("texts"), F.count_if("is_near_empty").alias("near_empty_flagged"))
+    counts = raw.crossJoin(noted).crossJoin(first.agg(F.count(F.lit(1)).alias("exact_rows"))).crossJoin(kept.agg(F.count(F.lit(1)).alias("final_rows")))
+    return counts.select(
+        "raw_rows", "null_text", "near_empty_flagged", (F.col("texts") - F.col("exact_rows")).alias("exact_removed"), (F.col("exact_rows") - F.col("final_rows")).alias("near_removed"), "final_rows")
+
+
 def light_duplicates(df: DataFrame, text: str, label: str) -> DataFrame:
     """One row: duplicates by exact text, by light key, and light groups whose labels conflict."""
     rows = df.where(F.col(text).isNotNull()).select(F.col(text).alias("t"), F.md5(t.light_key(F.col(text))).alias("k"), F.col(label).alias("l"))

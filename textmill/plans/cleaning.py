@@ -51,6 +51,12 @@ def clean_funnel(spark, d):
     return cleaning.funnel(read(spark, d, "final_data"), "review_description", "review_id")
 
 
+@query("clean_pipeline_metrics")
+def clean_pipeline_metrics(spark, d):
+    """The funnel with its last step, fuzzy deduplication, which SQL cannot say."""
+    return cleaning.pipeline(read(spark, d, "final_data"), "review_description", "review_id")
+
+
 @query("text_keys", f"""WITH {_N}, k AS (SELECT review_id, {q.key('norm')} AS key FROM n WHERE raw IS NOT NULL)
 SELECT review_id, key, length(key) AS chars, len(list_filter(string_split(key, ' '), lambda w: w <> ''))::INT AS words FROM k""")
 def text_keys(spark, d):
