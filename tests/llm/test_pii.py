@@ -42,6 +42,13 @@ def test_check_digits():
     assert pii.mod97("GB82 WEST 1234 5698 7654 32") and not pii.mod97("GB82 WEST 1234 5698 7654 33")
 
 
+def test_account_numbers_need_their_check_digits():
+    for good in ("GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "DE89370400440532013000"):
+        text = f"pay to {good} please"
+        assert [(text[a:b], k) for a, b, k, _ in pii.spans(text)] == [(good, "id_number")]
+        assert pii.spans(text.replace("82", "83").replace("89", "88")) == []
+
+
 @given(st.text(max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_spans_are_in_order(t):
