@@ -49,6 +49,16 @@ def test_account_numbers_need_their_check_digits():
         assert pii.spans(text.replace("82", "83").replace("89", "88")) == []
 
 
+@pytest.mark.parametrize("text,item", [
+    *((t, t) for t in ("a.b@mail.com", "a.b arobase mail point fr", "a.b AT mail DOT com", "a.b[AT]mail.com", "a.b{at}mail.com", "a.b (at) mail.com")),
+    *((f"{c} Omar Haddad", "Omar Haddad") for c in ("Ms.", "ms", "mr.", "mrs.", "Mr", "Mme", "Mlle", "monsieur", "Madame", "Dr.", "I am", "my name is", "account holder", "ana esmy", "regards,", "caller:", "signed", "sincerely,")),
+    ("ask for Omar Haddad at noon", "Omar Haddad"), ("customer Omar Haddad called", "Omar Haddad"),
+    *((f"{c} محمود حداد وعايز اعرف", "محمود حداد") for c in ("معك", "معكم", "انا")), ("كلمني محمود حداد من الشركة", "محمود حداد"),
+    *((f"{c} محمود حداد", "محمود حداد") for c in ("الطلب باسم", "مع تحيات", "مع الاستاذ", "المستلم:", "السيد", "العميلة", "اسمي", "د/"))])
+def test_no_cue_without_digits_is_passed_over(text, item):
+    assert item in [text[a:b] for a, b, _, _ in pii.spans(text)]
+
+
 @given(st.text(max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_spans_are_in_order(t):

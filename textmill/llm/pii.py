@@ -145,6 +145,8 @@ class Rule:
     context: re.Pattern | None = None
     bonus: float = 0.35
     group: int = 0
+    #: What every match holds, or has before it.
+    cue: str = r"\d"
 
 
 def _any(*words: str) -> str:
@@ -165,12 +167,19 @@ _ARABIC_NAME = rf"{_A}{{3,}}\s+(?:ال)?{_A}{{3,}}"
 # groupings of an international number after the country's digits
 _INTERNATIONAL = r" ?\(0\)\d(?:[ .\-]\d{2}){4}|(?:\.\d{2,4}){3,5}|(?:-\d{2,4}){3,4}| \d{2,3} \d{3} \d{3,4}| \d{1,2} \d{4} \d{4}| \d(?: \d{2}){4}|\d{8,12}"
 _STREET = rf"(?!(?:the|a|an|my|our|your|this|that|their|his|her|egp|sar|usd)\b){_L}[\w'\-]+"
+# what names and written-out e-mail signs are told by
+_AT, _AT_WORD = r"[\[({](?:at|@)[\])}]", r"\s(?:at|arobase)\s"
+_TITLES = rf"(?:الطلب باسم|مع تحيات|مع الاستاذة?|المستلمة?\s?:|السيدة?|العميلة|اسمي|(?<!{_A})[اد]/)\s"
+_WITH_YOU = rf"(?<!{_A})(?:انا|معك(?:م)?)\s"
+_SPOKE = rf"(?<!{_A})(?:كلمني|كلمتني)\s"
+_LATIN_TITLES = r"\b(?:[Aa]ccount holder|[Aa]na esm[yi]|[Mm]y name is|[Ii] am|[Rr]egards,|[Cc]aller:|[Ss]igned|[Ss]incerely,|[Mm]r\.?|[Mm]rs\.?|[Mm]s\.?|Mme|Mlle|[Mm]onsieur|[Mm]adame|Dr\.)\s"
+_ASKED, _CUSTOMER = r"\b[Aa]sk for\s", r"\b[Cc]ustomer\s"
 _PLACE = rf"{_A}{{2,}}(?:\s{_A}{{2,}})?"
 
 RULES = (
-    Rule("email", re.compile(r"(?<![\w.+\-])[A-Za-z0-9][\w.+\-]*\s?@\s?[A-Za-z0-9][\w\-]*(?:\.[\w\-]+)+", re.A), _certain),
-    Rule("email", re.compile(r"(?<![\w.+\-])[A-Za-z0-9][\w.+\-]*\s?[\[({](?:at|@)[\])}]\s?[\w\-]+(?:\s?(?:\.|[\[({](?:dot|\.)[\])}])\s?[\w\-]+)+", re.A | re.I), _certain),
-    Rule("email", re.compile(r"(?<![\w.+\-])[A-Za-z0-9][\w.+\-]*\s(?:at|arobase)\s[\w\-]+(?:\s(?:dot|point)\s[\w\-]+)+", re.A | re.I), _certain),
+    Rule("email", re.compile(r"(?<![\w.+\-])[A-Za-z0-9][\w.+\-]*\s?@\s?[A-Za-z0-9][\w\-]*(?:\.[\w\-]+)+", re.A), _certain, cue="@"),
+    Rule("email", re.compile(rf"(?<![\w.+\-])[A-Za-z0-9][\w.+\-]*\s?{_AT}\s?[\w\-]+(?:\s?(?:\.|[\[({{](?:dot|\.)[\])}}])\s?[\w\-]+)+", re.A | re.I), _certain, cue=f"(?i:{_AT})"),
+    Rule("email", re.compile(r"(?<![\w.+\-])[A-Za-z0-9][\w.+\-]*" + _AT_WORD + r"[\w\-]+(?:\s(?:dot|point)\s[\w\-]+)+", re.A | re.I), _certain, cue=f"(?i:{_AT_WORD})"),
     Rule("phone", re.compile(rf"(?<![\d+\-/#(])(?<![A-Za-z]-)(?:\+|00)\d{{1,3}}(?:{_INTERNATIONAL})(?![\w/])"), _phone, re.compile(PHONE_WORDS, re.I)),
     Rule("phone", re.compile(r"(?<![\d+\-/#(])(?<!\d\.)(?<![A-Za-z]-)(?:\(0\d{2,3}\)|0\d{2,3})[ .\-]?\d{3}[ .\-]?\d{3,5}(?![\w/])"), _phone, re.compile(PHONE_WORDS, re.I)),
     Rule("id_number", re.compile(r"(?<![\d.+\-/#])(?<![A-Za-z])[23](?:\d{13}|\d{6}[ \-]?\d{7}|[ \-]\d{6}[ \-]\d{2}[ \-]\d{5})(?![\w/])"), _national, re.compile(ID_WORDS, re.I)),
@@ -187,14 +196,15 @@ RULES = (
     Rule("address", re.compile(rf"{_STREET}\s+(?:avenue|ave|street|st|road|rd|lane)\b\.?\s*,\s*(?:bldg|building|house|no)\.?\s+\d{{1,4}}(?:\s*,\s*(?:flat|apt\.?)\s+\d{{1,4}})?", re.I), _certain),
     Rule("address", re.compile(rf"\d{{1,4}}\s*,?\s+(?:rue|avenue|boulevard|impasse|allée)\s+(?:des?\s+|du\s+|de la\s+|de l')?{_STREET}(?:\s*,\s*(?:porte|appt?|étage)\s+\d{{1,4}})?", re.I), _certain),
     # names: only where a word announces one
-    Rule("name", re.compile(rf"(?:الطلب باسم|مع تحيات|مع الاستاذة?|المستلمة?\s?:|السيدة?|العميلة|اسمي|(?<!{_A})[اد]/)\s+({_ARABIC_NAME})"), _certain, group=1),
-    Rule("name", re.compile(rf"(?<!{_A})(?:انا|معك(?:م)?)\s+({_ARABIC_NAME})(?=\s+وعايز)"), _certain, group=1),
-    Rule("name", re.compile(rf"(?<!{_A})(?:كلمني|كلمتني)\s+({_ARABIC_NAME})(?=\s+من\s)"), _certain, group=1),
-    Rule("name", re.compile(rf"\b(?:[Aa]ccount holder|[Aa]na esm[yi]|[Mm]y name is|[Ii] am|[Rr]egards,|[Cc]aller:|[Ss]igned|[Ss]incerely,|[Mm]r\.?|[Mm]rs\.?|[Mm]s\.?|Mme|Mlle|[Mm]onsieur|[Mm]adame|Dr\.)\s+({_LATIN_NAME})"), _certain, group=1),
-    Rule("name", re.compile(rf"\b[Aa]sk for\s+({_LATIN_NAME})(?=\s+at\b)|\b[Cc]ustomer\s+({_LATIN_NAME})(?=\s+(?:called|wrote|said)\b)"), _certain, group=-1),
+    Rule("name", re.compile(rf"{_TITLES}+({_ARABIC_NAME})"), _certain, group=1, cue=_TITLES),
+    Rule("name", re.compile(rf"{_WITH_YOU}+({_ARABIC_NAME})(?=\s+وعايز)"), _certain, group=1, cue=_WITH_YOU),
+    Rule("name", re.compile(rf"{_SPOKE}+({_ARABIC_NAME})(?=\s+من\s)"), _certain, group=1, cue=_SPOKE),
+    Rule("name", re.compile(rf"{_LATIN_TITLES}+({_LATIN_NAME})"), _certain, group=1, cue=_LATIN_TITLES),
+    Rule("name", re.compile(rf"{_ASKED}+({_LATIN_NAME})(?=\s+at\b)|{_CUSTOMER}+({_LATIN_NAME})(?=\s+(?:called|wrote|said)\b)"), _certain, group=-1, cue=f"{_ASKED}|{_CUSTOMER}"),
 )
 
-_WORTH = re.compile(r"[0-9@]|at\]|at\)| at |باسم|تحيات|الاستاذ|المستلم|السيد|العميلة|اسمي|[اد]/|انا|كلم|holder|esm|name|egards|aller|igned|Mr|Mme|Ml|onsieur|adame|sk for|ustomer|incerely|Dr\.| am ")
+#: Texts that hold no rule's cue hold no item.
+_WORTH = re.compile("|".join(dict.fromkeys(r.cue for r in RULES)))
 
 
 def spans(text: str | None) -> list[tuple[int, int, str, float]]:
