@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from textmill.llm.lookalike import lookalike_pairs, resolve_token, token_report, unify_text
+from textmill.llm.lookalike import _tables, lookalike_pairs, resolve_token, token_report, unify_text
 
 SAME = [
     ("abc", "ａｂｃ"), ("café", "café"), ("a b", "a b"), ("a b", "a b"), ("ab", "a​b"), ("ab", "﻿ab"), ("file", "ﬁle"), ("paypal", "раураl"), ("cop", "сор"),
@@ -49,3 +49,10 @@ def test_pairs_and_edges(spark):
     assert sorted(tuple(r) for r in lookalike_pairs(df, "id", "t").collect()) == [(1, 2), (2, 3), (5, 6)]
     assert [(r["id"], r["kind"]) for r in token_report(df, "id", "t").collect()] == [(2, "mixed")]
     assert lookalike_pairs(df.limit(0), "id", "t").count() == 0
+
+
+def test_every_mapped_character_is_looked_up():
+    tables = _tables()
+    assert [hex(c) for c in tables["forms"] if not tables["needs"].search(chr(c))] == []
+    assert unify_text("\U0001fbf1\U0001fbf2") == unify_text("\U0001fbf1\U0001fbf2\u00a0").rstrip(" ") == "12"
+    assert unify_text("\U0001ee01") == "\u0628"

@@ -88,7 +88,13 @@ def _tables() -> dict[str, object]:
         forms = _single_forms()
         pairs = dict(zip(CYRILLIC, LATIN_OF_CYRILLIC)) | dict(zip(GREEK, LATIN_OF_GREEK))
         _TABLES["forms"] = forms
-        _TABLES["needs"] = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(forms) if c < 0x10000) + "\U0001d400-\U0001d7ff\U000e0000-\U000e0fff]")
+        spread: list[list[int]] = []  # ranges over the keys beyond the basic plane; a character between them only costs a look-up
+        for c in sorted(c for c in forms if c >= 0x10000):
+            if spread and c - spread[-1][1] < 0x400:
+                spread[-1][1] = c
+            else:
+                spread.append([c, c])
+        _TABLES["needs"] = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(forms) if c < 0x10000) + "".join(f"{chr(a)}-{chr(b)}" for a, b in spread) + "]")
         _TABLES["class_of"] = pairs
         member: dict[str, dict[str, str]] = {"cyrillic": {}, "greek": {}}
         for ch, latin in zip(CYRILLIC, LATIN_OF_CYRILLIC):
