@@ -2,6 +2,7 @@
 
 import pytest
 
+from textmill.llm import history
 from textmill.llm import queries as q
 
 S = {
@@ -45,3 +46,13 @@ def test_columns(spark, tables):
             "p6": ["row_id_a", "row_id_b"], "p7": ["feedback_row", "override_id"], "p10": ["doc_id_a", "doc_id_b"]}
     for p, columns in want.items():
         assert q.queries()[f"{p}_found"](spark, tables).columns == columns
+
+
+def test_a_day_that_cannot_be_read_is_null(spark):
+    days = spark.createDataFrame([("1970-01-03",), ("",), ("yesterday",), ("2026-13-40",), (None,)], "batch_day string")
+    assert [r[0] for r in days.selectExpr(q.DAY.format("batch_day")).collect()] == [2, None, None, None, None]
+    text = " ".join(f"word{i}" for i in range(20))
+    new = spark.createDataFrame([(1, text, "2026-01-05"), (2, text, ""), (3, text, "soon")], "feedback_row long, text string, batch_day string")
+    held = spark.createDataFrame([("a", text, "2026-01-02T10:00:00Z"), ("b", text, ""), ("c", text, "?")], "override_id string, text string, captured_at string")
+    got = history.repeated_rows(new, "feedback_row", "text", q.DAY.format("batch_day"), held, "override_id", "text", q.DAY.format("substr(captured_at, 1, 10)"))
+    assert [(r["feedback_row"], r["override_id"]) for r in got.collect()] == [(1, "a")]

@@ -15,7 +15,7 @@ def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{table}.parquet")
 
 
-DAY = "datediff(to_date({}), date'1970-01-01')"
+DAY = "datediff(try_cast({} as date), date'1970-01-01')"  # null where it is no day
 
 
 def _consensus(spark: SparkSession, d: str) -> consensus.Consensus:
