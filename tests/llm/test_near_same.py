@@ -180,3 +180,9 @@ def test_kept_index(spark, tmp_path):
     empty = history.HistoryIndex(spark, path)
     assert empty.shards == 5 and empty.check(df.limit(0), "name", "text").count() == 0
     empty.add(df.limit(0), "name", "text")
+
+
+def test_components_are_settled_however_many_rounds_it_takes(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "range", lambda n: [0], raising=False)  # a bound on the rounds would end after the first
+    chain = spark.createDataFrame([(i, i + 1) for i in (*range(0, 40, 2), *range(1, 40, 2))], "a long, b long")
+    assert {r["component"] for r in neardup.connected(chain).collect()} == {0}

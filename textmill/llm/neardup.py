@@ -87,7 +87,7 @@ def near_duplicate_pairs(df: DataFrame, id_col: str, text: str, threshold: float
         within.select(F.col("x").alias(f"{id_col}_a"), F.col("y").alias(f"{id_col}_b")))
 
 
-def connected(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph ``a``, ``b``: one row ``node``, ``component`` (its smallest node).
 
     Alternating large-star and small-star steps; each step is one shuffle of the edges, pre-grouped by
@@ -95,7 +95,7 @@ def connected(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     mark = None
-    for _ in range(rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
