@@ -38,9 +38,9 @@ def test_rules(spark):
     ruled = [(2, " Positive"), (2, "positive"), (3, "negative"), (3, "positive"), (4, "neutral"), (1, None)]
     v = votes_of(spark.createDataFrame(rows, "item long, agent string, label string"), spark.createDataFrame(ruled, "item long, label string"))
     assert sorted((r["item"], r["agent"], LABELS[r["lab"]]) for r in v.collect()) == [(1, "a", "positive"), (1, "c", "negative"), (2, "b", "neutral"), (3, "z", "neutral")]
-    got = {r["item"]: r for r in Consensus(v, rounds=2).items().collect()}
+    got = {r["item"]: r for r in Consensus(v).items().collect()}
     assert got[2]["label"] == "positive" and got[2]["ruled"] and not got[3]["ruled"] and got[1]["agents"] == 2 and got[1]["agreement"] == 0.0 and got[3]["agreement"] is None
-    assert Consensus(v.limit(0), rounds=2).items().count() == 0
+    assert Consensus(v.limit(0)).items().count() == 0
 
 
 def test_quantile(spark):
@@ -48,3 +48,20 @@ def test_quantile(spark):
 
     q = spark.range(1).select(chi_squared_quantile(0.975, F.lit(10)), chi_squared_quantile(0.025, F.lit(100))).first()
     assert abs(q[0] - 20.483) < 0.05 and abs(q[1] - 74.222) < 0.05
+
+
+def test_the_chi_squared_bound_decides(spark):
+    """Two votes from annotators hardly seen do not outweigh one from an annotator seen often, though they never erred."""
+    rows = [(i, a, lab) for i in range(200) for a, lab in (("old", LABELS[i % 3]), ("also", LABELS[i % 3]))]
+    rows += [(1000, "old", "positive"), (1000, "new1", "negative"), (0, "new1", LABELS[0]), (1, "new1", LABELS[1])]
+    c = Consensus(votes_of(spark.createDataFrame(rows, "item long, agent string, label string"), spark.createDataFrame([], "item long, label string")))
+    got = {r["item"]: r["label"] for r in c.items().where("item = 1000").collect()}
+    sure = {r["agent"]: r["confidence"] for r in c.agents().collect()}
+    assert got == {1000: "positive"} and sure["new1"] < 0.2 < 0.8 < sure["old"]
+
+
+def test_settles_and_leaves_no_cache(spark):
+    _, rows = simulate(5)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    c = Consensus(votes_of(spark.createDataFrame(rows, "item long, agent string, label string"), spark.createDataFrame([], "item long, label string")))
+    assert 1 < c.rounds < 100 and len(spark.sparkContext._jsc.getPersistentRDDs()) == before

@@ -63,7 +63,34 @@ def test_table_equals_vectors():
     r = np.random.default_rng(2)
     profiles = r.normal(size=(5, 256)).astype(np.float32)
     table = langid.piece_table(profiles, letters)
-    unit = profiles / np.linalg.norm(profiles, axis=1).mean()
+    unit = profiles / np.linalg.norm(profiles, axis=1, keepdims=True)
     for a, b, c in r.integers(0, langid.SYMBOLS, (20, 3)):
         v = np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c]
         assert np.allclose(table[(a * langid.SYMBOLS + b) * langid.SYMBOLS + c], unit @ v / 16, atol=1e-4)
+
+
+def test_the_highest_cosine_wins_whatever_the_norms():
+    import numpy as np
+
+    letters, r = langid.letter_vectors(512, 6), np.random.default_rng(3)
+    profiles = r.normal(size=(5, 512)).astype(np.float32)
+    a, b = (langid.piece_table(p, letters) for p in (profiles, profiles * np.array([[1], [9], [0.1], [2], [30]], np.float32)))
+    assert np.allclose(a, b, atol=1e-5)
+
+
+def test_another_language_is_other(spark, fitted):
+    rows = [(1, "jdzwiek przyszedl wczoraj zbyt pozno lecz obsluga sklepu byla bardzo uprzejma"), (2, "хороший товар пришел вовремя"), (3, "zxqj vvkz qqwx jjzk xxqv kkzj wwxq zzvk jqxz vkwq xjzz qkvw zxjq"), (4, sentence(random.Random(4), "en"))]
+    got = {r["record_id"]: r["lang"] for r in langid.detect(spark.createDataFrame(rows, "id long, t string"), "id", "t", fitted).collect()}
+    assert got[3] == "other" and got[4] == "en" and got[2] is None
+
+
+def test_letters_beyond_the_basic_plane():
+    plain, drawn = "the order", "".join(chr(0x1D41A + ord(c) - 97) if c != " " else c for c in "the order")
+    assert langid.symbols([plain])[0].tolist() == langid.symbols([drawn])[0].tolist()
+
+
+def test_long_documents_are_in_the_sample_too(spark):
+    r = random.Random(8)
+    rows = [(i, sentence(r, lang, 3000), lang) for i, lang in enumerate(list(WORDS) * 4)]
+    profiles = langid.fit(spark.createDataFrame(rows, "id long, t string, l string"), "t", "l", "id")
+    assert (profiles.typical > 0).all()

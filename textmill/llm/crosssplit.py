@@ -4,21 +4,20 @@ Method: a full-text index of the evaluation records, in shards, through which th
 records are streamed by backward search.  The text that is indexed is each record's
 element sequence (see ``nearsame``), which makes matches blind to word order.  The hash
 range of the elements is cut into shards; the stretches of all records that fall in a
-shard meet in one task, evaluation stretches first.  There the task builds the index (the
-Burrows-Wheeler transform kept as a per-symbol list of positions, and the suffix order)
-and then streams the training stretches in Arrow batches: backward search from every end
-position finds the suffix range of each match of two or more elements, extends it as far
-left as it goes for the longest match, locates the occurrences, and drops at once those
-whose odd sketches rule the pair out.  Spans and counts are then merged per pair across
+shard meet in one task, evaluation stretches first.  There the task builds the index (a
+compressed suffix array in Elias-Fano form, see ``fulltext``) and then streams the training
+stretches in Arrow batches: backward search from every end position finds the suffix
+range of each match of two or more elements, extends it as far left as it goes for the
+longest match, locates the occurrences, and drops at once those whose odd sketches rule the
+pair out.  Spans and counts are then merged per pair across
 shards, and the pairs checked exactly.
 
 Every near-same pair shares such a match (see ``nearsame``), so none is lost.
 
-Scale: the shuffled volume is linear in the records; the number of shards follows
-``spark.sql.shuffle.partitions``; a task holds one shard's evaluation stretches plus one
-batch.  A pair of neighbours whose first element is very frequent goes to a shard drawn
-from both, so a word that a third of all records hold is spread over all shards; copies
-are one class.
+Scale: the shuffled volume is linear in the records; the number of shards follows their
+elements, so a task holds a bounded index and one batch.  Pairs of neighbours whose first
+element is hot are drawn to any shard; a pair that many classes hold on its own is spread
+over several shards, training stretches going to each (``nearsame.routing``); copies are one class.
 
 Defined results: null, blank and short texts are in no pair; an empty table gives none.
 """
@@ -32,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .nearsame import MIN_WORDS, THRESHOLD, _starts, classes, hot_elements, members, popcount, segments, suffix_array, verified, word_sets
-from .store import written
+from .fulltext import FullTextIndex
+from .nearsame import MIN_WORDS, THRESHOLD, _starts, classes, members, popcount, routing, segments, verified, word_sets
+from ..sources.store import written
 
 MATCHES = "a long, b long, spans long, longest int"
 #: Occurrences expanded at a time.
@@ -55,45 +55,6 @@ class Stretches:
         self.row = np.repeat(np.arange(len(self.cls)), np.diff(self.off))
 
 
-class FullTextIndex:
-    """BWT index of stretches: backward search and locate, vectorised over many patterns."""
-
-    def __init__(self, s: Stretches):
-        self.of = s
-        self.words = np.unique(s.tokens)
-        rows = len(s.cls)
-        # each stretch is followed by an end mark of its own, smaller than every word
-        at = np.arange(len(s.tokens)) + s.row
-        text = np.empty(len(s.tokens) + rows, np.int64)
-        text[at] = np.searchsorted(self.words, s.tokens) + rows
-        text[s.off[1:] + np.arange(rows)] = np.arange(rows)
-        self.row_of = np.empty(len(text), np.int64)
-        self.row_of[at] = s.row
-        self.row_of[s.off[1:] + np.arange(rows)] = np.arange(rows)
-        self.size, self.rows = len(text), rows
-        self.order = suffix_array(text)
-        last = text[self.order - 1]  # the transform
-        self.before = np.searchsorted(np.sort(text), np.arange(rows + len(self.words) + 1))  # smaller symbols in the text
-        self.occurrences = np.sort(last * np.int64(self.size + 1) + np.arange(self.size))
-        self.first = np.searchsorted(self.occurrences, np.arange(rows + len(self.words) + 1) * np.int64(self.size + 1))
-
-    def symbols(self, tokens: np.ndarray) -> np.ndarray:
-        """Symbols of tokens, -1 for those not in the index."""
-        if not len(self.words):
-            return np.full(len(tokens), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, at + self.rows, -1)
-
-    def whole(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.before[symbol], self.before[symbol + 1]
-
-    def back(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The suffix ranges after putting a symbol in front."""
-        key = symbol * np.int64(self.size + 1)
-        base = self.before[symbol] - self.first[symbol]
-        return base + np.searchsorted(self.occurrences, key + lo), base + np.searchsorted(self.occurrences, key + hi)
-
-
 def matches(index: FullTextIndex, q: Stretches, threshold: float) -> Iterator[tuple[np.ndarray, ...]]:
     """Chunks of (query row, index row, span length at its end) for every match of two or more elements
     whose sizes and sketches allow the threshold."""
@@ -116,15 +77,19 @@ def matches(index: FullTextIndex, q: Stretches, threshold: float) -> Iterator[tu
         length[live] += 1
     found = hi - lo
     cut = np.r_[0, np.flatnonzero(np.diff(np.cumsum(found) // CHUNK)) + 1, len(found)]
-    o = index.of
     for a, b in zip(cut[:-1], cut[1:]):
         c = found[a:b]
         if not c.sum():
             continue
+        # patterns of one chunk often have the same range, which is then located once
+        first, same = np.unique(lo[a:b], return_index=True)[1], None
+        ranges, same = np.unique(np.c_[lo[a:b], c], axis=0, return_inverse=True) if len(first) < b - a else (np.c_[lo[a:b], c], np.arange(b - a))
+        each = ranges[:, 1]
+        spot = np.repeat(ranges[:, 0] - _starts(each), each) + np.arange(each.sum())
+        located = index.stretch_of(spot)
         who = np.repeat(np.arange(a, b), c)
-        spot = np.repeat(lo[a:b] - _starts(c), c) + np.arange(c.sum())
-        other, mine = index.row_of[index.order[spot]], q.row[end[who]]
-        yield mine, other, length[who]
+        other = located[np.repeat(_starts(each)[same.ravel()] - _starts(c), c) + np.arange(c.sum())]
+        yield q.row[end[who]], other, length[who]
 
 
 def allowed(q: Stretches, mine: np.ndarray, o: Stretches, other: np.ndarray, threshold: float) -> np.ndarray:
@@ -180,17 +145,12 @@ def search_stream(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return run
 
 
-def shards_of(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def class_overlaps(query: DataFrame, held: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs of a query class ``a`` and a held class ``b`` that are near-same, with ``spans``, ``longest``,
     ``common`` and ``similarity``."""
-    shards = shards_of(query)
-    hot = sorted({*hot_elements(query, shards), *hot_elements(held, shards)})
-    rows = segments(held, 0, shards, hot).unionByName(segments(query, 1, shards, hot))
-    found = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "side").mapInArrow(search_stream(threshold), MATCHES)
+    to = routing(query, held)
+    rows = segments(held, 0, to, False).unionByName(segments(query, 1, to, True))
+    found = rows.repartitionById(to.shards, F.col("shard")).sortWithinPartitions("shard", "side").mapInArrow(search_stream(threshold), MATCHES)
     pairs = found.groupBy("a", "b").agg(F.sum("spans").alias("spans"), F.max("longest").alias("longest"))
     return verified(pairs, query, held, threshold)
 
@@ -206,7 +166,7 @@ def cross_overlaps(df: DataFrame, id_col: str, text: str, is_train: str, *keep:
 def cross_pairs(df: DataFrame, id_col: str, text: str, is_train: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """Near-same pairs of a training row and an evaluation row, smaller id first."""
     found, train, held = cross_overlaps(df, id_col, text, is_train, threshold=threshold, min_words=min_words)
-    rows = found.select("a", "b").join(train.select(F.col("id").alias("x"), F.col("cls").alias("a")), "a").join(held.select(F.col("id").alias("y"), F.col("cls").alias("b")), "b")
+    rows = found.select("a", "b").join(train.select(F.col("id").alias("x"), F.col("cls").alias("a")).hint("merge"), "a").join(held.select(F.col("id").alias("y"), F.col("cls").alias("b")).hint("merge"), "b")
     return rows.select(F.least("x", "y").alias(f"{id_col}_a"), F.greatest("x", "y").alias(f"{id_col}_b"))
 
 

@@ -8,8 +8,8 @@ the number of words in common over the sum of their word counts is at least
 
 A text becomes a set of 64-bit *elements*, one per (word, how-manyth occurrence), kept in
 ascending order of the hash.  The order is the same for every text and needs no corpus
-statistics.  Texts with one set form a *class*, named by its smallest row id; all heavy
-work is on classes, and rows are joined back at the end.
+statistics.  Texts with one set form a *class*, named by 128 bits of its content; all heavy
+work is on classes, and rows are joined back at the end.  Ids may be of any type that has an order.
 
 Two facts used everywhere, for sets of n and m elements with c in common and
 2c/(n+m) >= t:
@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ from .lookalike import unify_text
 
 MIN_WORDS = 12
 THRESHOLD = 0.75
+#: Elements of one shard on average at most; shards that count for what is hot; classes that hold a hot pair.
+SHARD_ELEMENTS, MOST_SHARDS, HOT_PAIR = 4_000_000, 2000, 20_000
 
 _MARKS = re.compile("[\u064b-\u065f\u0670]")
 _RUNS = re.compile(r"(.)\1{2,}", re.S)
@@ -134,15 +138,20 @@ def word_sets(df: DataFrame, id_col: str, text: str, *keep: str, min_words: int
     return picked.mapInArrow(run, schema)
 
 
-def classes(sets: DataFrame, *more: Column) -> DataFrame:
-    """One row per distinct set: ``cls`` (smallest id), ``members``, n, the sketch and the elements."""
+def classes(sets: DataFrame, *more: Column, base: int = 0) -> DataFrame:
+    """One row per distinct set: ``cls`` (a number), ``first`` (smallest id), ``members``, n, the sketch and the elements.
+
+    A set is named by 128 bits; the number only stands for that name.  It is drawn where the row is made, so
+    the table has to be written before it is used twice: the place of its task in 2^14, the row in 2^29 (``base`` above both)."""
     same = [F.first(c).alias(c) for c in ("n", "s1", "s2", "elems")]
-    return sets.groupBy("c1", "c2").agg(F.min("id").alias("cls"), F.count(F.lit(1)).alias("members"), *same, *more)
+    made = sets.groupBy("c1", "c2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members"), *same, *more)
+    drawn = F.monotonically_increasing_id()
+    return made.withColumn("cls", F.shiftright(drawn, 33) * (1 << 29) + drawn.bitwiseAND((1 << 33) - 1) + F.lit(base << 43))
 
 
 def members(sets: DataFrame, cls: DataFrame, *keep: str) -> DataFrame:
     """``id`` (and kept columns) with the ``cls`` it belongs to."""
-    return sets.select("c1", "c2", "id", *keep).join(cls.select("c1", "c2", "cls"), ["c1", "c2"]).select("id", "cls", *keep)
+    return sets.select("c1", "c2", "id", *keep).join(cls.select("c1", "c2", "cls").hint("merge"), ["c1", "c2"]).select("id", "cls", *keep)
 
 
 def sketch_allows(a: str, b: str, threshold: float = THRESHOLD) -> Column:
@@ -154,9 +163,12 @@ def sketch_allows(a: str, b: str, threshold: float = THRESHOLD) -> Column:
 
 
 def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``pairs`` (a, b, ...) whose sets reach the threshold, with ``common`` and ``similarity``."""
-    l = left.select(F.col("cls").alias("a"), F.col("elems").alias("__ea"))
-    r = right.select(F.col("cls").alias("b"), F.col("elems").alias("__eb"))
+    """``pairs`` (a, b, ...) whose sets reach the threshold, with ``common`` and ``similarity``.
+
+    The joins are sort-merge joins by hint: arrays count as one element in Spark's size estimates, so
+    a table of elements would be taken for small and sent to the driver."""
+    l = left.select(F.col("cls").alias("a"), F.col("elems").alias("__ea")).hint("merge")
+    r = right.select(F.col("cls").alias("b"), F.col("elems").alias("__eb")).hint("merge")
     total = F.size("__ea") + F.size("__eb")
     return (
         pairs.join(l, "a").join(r, "b").withColumn("common", F.size(F.array_intersect("__ea", "__eb")))
@@ -164,16 +176,80 @@ def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: flo
     )
 
 
-def segments(cls: DataFrame, side: int, shards: int, hot: list[int], *order: str) -> DataFrame:
+def pair_name(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A 64-bit key of two neighbouring elements; two pairs that share one are only routed alike."""
+    return mix(first.view(np.uint64) + second.view(np.uint64) * np.uint64(3)).view(np.int64)
+
+
+@dataclass(frozen=True)
+class Routing:
+    """How element sequences are spread: shards of the hash range, elements whose pairs are drawn to any shard,
+    and pairs that are spread over several, with how many."""
+
+    shards: int
+    elements: np.ndarray
+    pairs: np.ndarray
+    spread: np.ndarray
+
+
+def routing(*sides: DataFrame, shards: int | None = None) -> Routing:
+    """The routing of classes of all ``sides``, from counts over every element and every pair of neighbours.
+
+    A shard holds ``SHARD_ELEMENTS`` elements on average at most, and there is one at least for every shuffle
+    partition.  An element is hot where it is more than half of an average shard, a pair where more
+    than ``HOT_PAIR`` classes (or 1 in 100,000 of all elements) hold it.  So at most 4 * MOST_SHARDS elements and 200,000 pairs come back.
+    Counts below a fraction of the limit within an Arrow batch are left out, which can only make
+    a count too small by half: what is hot is found, and a few others are taken for hot."""
+    spark = sides[0].sparkSession
+    every = reduce(DataFrame.unionByName, [s.select("n", "elems") for s in sides])
+    total = every.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if shards is None:
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_ELEMENTS))
+    most_e = max(1000, total // (2 * min(shards, MOST_SHARDS)))
+    most_p = max(HOT_PAIR, total // 100_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            elems = b.column("elems")
+            off = np.asarray(elems.offsets, dtype=np.int64)
+            e = np.asarray(elems.values)[off[0] : off[-1]]
+            if len(e) < 2:
+                continue
+            share = len(e) / max(total, 1)
+            inside = np.ones(len(e), bool)
+            inside[off[1:-1] - off[0] - 1] = False
+            inside[-1] = False
+            two = pair_name(e, np.roll(e, -1))[inside]
+            for is_pair, x, most in ((False, e, most_e), (True, two, most_p)):
+                v, c = np.unique(x, return_counts=True)
+                keep = c >= max(1, most * share / 2)
+                if keep.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(keep.sum(), is_pair)), pa.array(v[keep]), pa.array(c[keep].astype(np.int64))], names=["p", "k", "c"])
+
+    counts = every.select("elems").mapInArrow(run, "p boolean, k long, c long").groupBy("p", "k").agg(F.sum("c").alias("c"))
+    rows = counts.where(F.col("c") > F.when(F.col("p"), most_p // 2).otherwise(most_e // 2)).collect()
+    pairs = sorted((r["k"], min(shards, -(-r["c"] // HOT_PAIR))) for r in rows if r["p"])
+    return Routing(shards, np.array(sorted(r["k"] for r in rows if not r["p"]), np.int64), np.array([k for k, _ in pairs], np.int64), np.array([n for _, n in pairs], np.int64))
+
+
+def _within(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``x`` are in the sorted array, and where."""
+    if not len(sorted_):
+        return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    at = np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)
+    return sorted_[at] == x, at
+
+
+def segments(cls: DataFrame, side: int, to: Routing, copied: bool, *order: str) -> DataFrame:
     """Each class's element sequence cut into the stretches that belong to one shard of the hash range.
 
-    A pair of neighbours belongs to the shard of its first element, or, where that element is one
-    of the ``hot`` ones, to a shard drawn from both: a word in a third of all texts is spread out.
-    Stretches keep one element of the next shard, so no neighbouring pair is cut.
-    """
+    A pair of neighbours belongs to the shard of its first element, or, where that element is hot, to a shard
+    drawn from both: a word in a third of all texts is spread out.  A hot pair is a stretch of its own: the
+    side that is not ``copied`` is spread over several shards by class, the other goes to each of them.
+    Stretches keep one element of the next shard, so no neighbouring pair is cut."""
     schema = T.StructType.fromDDL("shard int, side int, cls long, n int, s1 long, s2 long, seg array<int>")
     schema = T.StructType([*schema.fields, *(T.StructField(o, cls.schema[o].dataType) for o in order)])
-    hot_sorted = np.array(sorted(hot), dtype=np.int64)
+    shards = to.shards
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -185,34 +261,35 @@ def segments(cls: DataFrame, side: int, shards: int, hot: list[int], *order: str
                 continue
             row = np.repeat(np.arange(len(off) - 1), np.diff(off))
             shard = (((e >> np.int64(32)) + np.int64(2**31)) * shards) >> np.int64(32)
-            if len(hot_sorted):
-                at = np.minimum(np.searchsorted(hot_sorted, e), len(hot_sorted) - 1)
-                is_hot = hot_sorted[at] == e
-                both = mix(e.view(np.uint64) + np.roll(e, -1).view(np.uint64) * np.uint64(3))
-                shard = np.where(is_hot, (both % np.uint64(shards)).astype(np.int64), shard)
             pair = np.flatnonzero(row[1:] == row[:-1])  # position of the first of two neighbours
-            new = np.r_[True, (row[pair][1:] != row[pair][:-1]) | (shard[pair][1:] != shard[pair][:-1])]
+            is_hot, _ = _within(to.elements, e[pair])
+            name = pair_name(e[pair], e[pair + 1])
+            goes = np.where(is_hot, (name.view(np.uint64) % np.uint64(shards)).astype(np.int64), shard[pair])
+            spread, at = _within(to.pairs, name)
+            new = np.r_[True, (row[pair][1:] != row[pair][:-1]) | (goes[1:] != goes[:-1]) | spread[1:] | spread[:-1]]
             head = np.flatnonzero(new)
-            first = pair[head]
+            first, goes, lone, at = pair[head], goes[head], spread[head], at[head]
             count = np.diff(np.r_[head, len(pair)]) + 1
+            if lone.any():
+                ways = np.where(lone, to.spread[at], 1)
+                base = np.where(lone, (name[head].view(np.uint64) % np.uint64(shards)).astype(np.int64), goes)
+                if copied:
+                    again = np.repeat(np.arange(len(head)), ways)
+                    goes = (base[again] + np.arange(len(again)) - np.repeat(_starts(ways), ways)) % shards
+                    first, count = first[again], count[again]
+                else:
+                    who = mix(np.asarray(b.column("cls"))[row[first]].view(np.uint64))
+                    goes = (base + (who % ways.astype(np.uint64)).astype(np.int64)) % shards
             where = np.repeat(first - _starts(count), count) + np.arange(count.sum())
             seg = pa.ListArray.from_arrays(pa.array(np.r_[_starts(count), [count.sum()]].astype(np.int32)), pa.array((e[where] & np.int64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
             rows = pa.array(row[first])
             take = {c: b.column(c).take(rows) for c in ("cls", "n", "s1", "s2", *order)}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[first].astype(np.int32)), pa.array(np.full(len(first), side, np.int32)), take["cls"], take["n"], take["s1"], take["s2"], seg, *(take[o] for o in order)], names=schema.names)
+                [pa.array(goes.astype(np.int32)), pa.array(np.full(len(first), side, np.int32)), take["cls"], take["n"], take["s1"], take["s2"], seg, *(take[o] for o in order)], names=schema.names)
 
     return cls.select("cls", "n", "s1", "s2", "elems", *order).mapInArrow(run, schema)
 
 
-def hot_elements(cls: DataFrame, shards: int) -> list[int]:
-    """Elements that more than one in ``2 * shards`` classes hold.  At most 2 * shards times the mean
-    number of words come back, whatever the number of texts."""
-    total = cls.count()
-    least = max(1000, total // (2 * shards))
-    return [r[0] for r in cls.select(F.explode("elems").alias("e")).groupBy("e").count().where(F.col("count") > least).select("e").collect()]
-
-
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 

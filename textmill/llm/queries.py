@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import consensus, crosssplit, history, langid, lookalike, mixing, neardup, oracle, packing, pii, sharedspans, tokens
-from .store import written
+from ..sources.store import written
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -35,7 +35,7 @@ def p1_consensus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_agents(spark: SparkSession, d: str) -> DataFrame:
-    return _consensus(spark, d).agents().withColumns({c: F.round(c, 6) for c in ("accuracy", "error_bound", "weight")}).withColumnRenamed("agent", "agent_id")
+    return _consensus(spark, d).agents().withColumns({c: F.round(c, 6) for c in ("accuracy", "error_bound", "weight", "confidence")}).withColumnRenamed("agent", "agent_id")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -53,8 +53,8 @@ def p2_confusable_tokens(spark: SparkSession, d: str) -> DataFrame:
 def _languages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(documents with their segments, splits with their language), each beside the given label."""
     docs, splits = _read(spark, d, "documents"), _read(spark, d, "splits")
-    table = langid.fit(docs, "text", "lang", "doc_id")
-    return langid.detect_lines(docs, "doc_id", "text", table, "lang"), langid.detect(splits, "row_id", "text", table, "dialect", "text")
+    profiles = langid.fit(docs, "text", "lang", "doc_id")
+    return langid.detect_lines(docs, "doc_id", "text", profiles, "lang"), langid.detect(splits, "row_id", "text", profiles, "dialect", "text")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -65,8 +65,9 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     meant = F.when(F.lower(F.trim("dialect")) == "arabizi", "ar-latn").otherwise("ar")
     words = F.size(F.filter(F.split("text", r"(?U)\s+"), lambda w: w != ""))
     off = splits.where((words >= 5) & (blank | (meant != F.col("lang"))))
-    return wrong.where("lang IS NOT NULL").select(F.lit("documents").alias("origin"), "record_id", "seg_no", "lang").unionByName(
-        off.where("lang IS NOT NULL").select(F.lit("splits").alias("origin"), "record_id", F.lit(0).cast("long").alias("seg_no"), "lang"))
+    known = F.col("lang").isin(*langid.LANGS)
+    return wrong.where(known).select(F.lit("documents").alias("origin"), "record_id", "seg_no", "lang").unionByName(
+        off.where(known).select(F.lit("splits").alias("origin"), "record_id", F.lit(0).cast("long").alias("seg_no"), "lang"))
 
 
 def p3_languages(spark: SparkSession, d: str) -> DataFrame:
