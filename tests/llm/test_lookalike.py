@@ -6,11 +6,11 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from textmill.llm.lookalike import _tables, lookalike_pairs, resolve_token, token_report, unify_text
+from textmill.llm.lookalike import _tables, lookalike_groups, lookalike_pairs, resolve_token, resolved, scripts_of, token_report, unified, unify_text
 
 SAME = [
     ("abc", "ａｂｃ"), ("café", "café"), ("a b", "a b"), ("a b", "a b"), ("ab", "a​b"), ("ab", "﻿ab"), ("file", "ﬁle"), ("paypal", "раураl"), ("cop", "сор"),
-    ("Τhe", "The"), ("للحكام", "للحکام"), ("سيء", "سیء"), ("٢٩", "۲٩"), ("لا", "ﻻ"), ("هدية", "ﻫﺪﻳﺔ"), ("شَّ", "شَّ"), ("123", "１２３"), ("soft­hyphen", "softhyphen"),
+    ("Τhe", "The"), ("ρort", "port"), ("ӏamp", "lamp"), ("Օne", "One"), ("ᎪᏢᏢᎪᎡ"[:4], "APPA"), ("ɑɡe", "age"), ("ⅳ", "iv"), ("Ⅻ", "XII"), ("ρорսlɑr", "popular"), ("للحكام", "للحکام"), ("سيء", "سیء"), ("٢٩", "۲٩"), ("لا", "ﻻ"), ("هدية", "ﻫﺪﻳﺔ"), ("شَّ", "شَّ"), ("123", "１２３"), ("soft­hyphen", "softhyphen"),
 ]
 DIFFERENT = [("abc", "Abc"), ("مش", "مِش"), ("احمد", "أحمد"), ("جدا", "جداا"), ("جدا", "جـدا"), ("a b", "a  b"), ("cafe", "café"), ("٤", "۴"), ("rn", "m"), ("x²", "x2"), ("a\nb", "a b"), ("привет", "hpивет"), ("كتاب", "كتب")]
 
@@ -26,7 +26,8 @@ def test_different(a, b):
 
 
 def test_spelling_is_consistent():
-    assert resolve_token("раypal") == ("paypal", frozenset({"latin"}), True)
+    assert resolve_token("раyfal") == ("payfal", frozenset({"latin"}), True)
+    assert resolve_token("раураl")[1] == {"latin", "cyrillic"}
     assert resolve_token("привет")[0] == "привет"
     assert resolve_token("сор")[0] == "cop" and "cyrillic" in resolve_token("сор")[1]
     assert unify_text("گیک") == unify_text("گيک") and "ی" in unify_text("گيک")
@@ -56,3 +57,22 @@ def test_every_mapped_character_is_looked_up():
     assert [hex(c) for c in tables["forms"] if not tables["needs"].search(chr(c))] == []
     assert unify_text("\U0001fbf1\U0001fbf2") == unify_text("\U0001fbf1\U0001fbf2\u00a0").rstrip(" ") == "12"
     assert unify_text("\U0001ee01") == "\u0628"
+
+
+def test_script_sets_come_from_script_extensions():
+    assert scripts_of("a") == {"latin"} and scripts_of("ж") == {"cyrillic"} and scripts_of("ا") == frozenset() and scripts_of("ɑ") == {"latin"}
+    assert resolved("a") >= {"latin", "cyrillic", "greek"} and resolved("f") == {"latin"}
+    assert resolve_token("жizn")[0] == "жizn" and not resolve_token("жizn")[1]  # no system alone: each class's first member
+    assert resolve_token("νο")[0] == "vo" and resolve_token("λόγος")[0] == "λόγος"
+
+
+def test_groups(spark):
+    rows = [(5, "cop"), (4, "сор"), (3, "cop"), (2, "сop"), (1, "x"), (6, None)]
+    got = sorted(tuple(r) for r in lookalike_groups(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect())
+    assert got == [(2, 2, 2, 3), (3, 2, 3, 3), (4, 2, 4, 3), (5, 2, 3, 3)]
+
+
+def test_unified_keeps_every_row_and_column(spark):
+    df = spark.createDataFrame([(1, "ａ", "k"), (2, None, None)], "id long, t string, form string")
+    assert [tuple(r) for r in unified(df, "t", "out").orderBy("id").collect()] == [(1, "ａ", "k", "a"), (2, None, None, None)]
+    assert [tuple(r) for r in unified(df, "t", "t").select("id", "t").orderBy("id").collect()] == [(1, "a"), (2, None)]

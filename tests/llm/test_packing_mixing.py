@@ -45,7 +45,8 @@ def test_items(spark):
 
 
 def test_joined_slots_agree(spark, monkeypatch):
-    df = spark.createDataFrame([(i, 1 + i % 37) for i in range(500)], "id long, tokens long")
+    monkeypatch.setattr(packing, "RANGE", 7)
+    df = spark.createDataFrame([(i, 1 + i % 37 if i % 3 else 5) for i in range(700)] + [(999, 260)], "id long, tokens long")
     kinds = spark.createDataFrame([("s", 50)], "kind string, capacity long")
     key = lambda d: sorted(tuple(r) for r in d.select("kind", "container", "id", "piece", "length").collect())
     plain = key(packing.packed(df, kinds))

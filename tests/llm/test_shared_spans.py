@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from textmill.llm import sharedspans
 from textmill.llm.sharedspans import Shared
 
 
@@ -47,3 +48,48 @@ def test_nothing(spark):
     df = spark.createDataFrame([], "doc long, text string")
     s = Shared(df, "doc", "text")
     assert s.pairs().count() == 0 and s.coverage(df, "text").count() == 0
+
+
+@pytest.mark.parametrize("hot", [5000, 3])
+def test_letters_decide_where_hashes_agree(spark, monkeypatch, hot):
+    """With a hash that takes few values, on either side of the switch, the result is the same."""
+    import numpy as np
+
+    t = texts(5)[30:90]
+    df = spark.createDataFrame(list(enumerate(t)), "doc long, text string")
+    want = {tuple(r) for r in Shared(df, "doc", "text", length=60, seed=24).pairs().collect()}
+    real = sharedspans.window_keys
+
+    def few(strings, length):
+        row, off, key = real(strings, length)
+        return row, off, key % np.uint64(5)
+
+    b, h = sharedspans._bucket_groups, sharedspans._hot_windows
+
+    def patched(make):
+        def made(length):
+            run = make(length)
+
+            def go(batches):
+                from textmill.llm import sharedspans as m
+
+                m.window_keys, kept = few, m.window_keys
+                try:
+                    yield from run(batches)
+                finally:
+                    m.window_keys = kept
+
+            return go
+
+        return made
+
+    monkeypatch.setattr(sharedspans, "_bucket_groups", patched(b))
+    monkeypatch.setattr(sharedspans, "_hot_windows", patched(h))
+    assert {tuple(r) for r in Shared(df, "doc", "text", length=60, seed=24, hot=hot).pairs().collect()} == want and want
+
+
+def test_groups_are_parted_by_letters():
+    import numpy as np
+
+    got = sharedspans.by_letters(np.array([0, 0, 0, 0, 1, 1]), ["a", "b", "a", "b", "a", "a"]).tolist()
+    assert got[0] == got[2] != got[1] == got[3] and got[4] == got[5] not in got[:4]

@@ -12,12 +12,12 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 8_000_000
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The non-empty batches, sliced so that the texts of a slice have at most ``limit`` bytes, or are one."""
+def blocks(batches: Iterator[pa.RecordBatch], *columns: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The non-empty batches, sliced so that the texts of a slice have at most ``limit`` bytes, or are of one row."""
     for b in batches:
         if not b.num_rows:
             continue
-        size = np.asarray(pc.fill_null(pc.binary_length(b.column(column)), 0)).astype(np.int64)
+        size = sum(np.asarray(pc.fill_null(pc.binary_length(b.column(c)), 0)).astype(np.int64) for c in columns)
         if size.sum() <= limit:
             yield b
             continue

@@ -310,10 +310,8 @@ class HistoryIndex:
     def _arrays(self, names: list[str]) -> DataFrame:
         return self._kept("arrays", "shard").where(F.col("name").isin(names))
 
-    def check(self, df: DataFrame, id_col: str, text: str, day: str = "1") -> DataFrame:
-        """``id_col``, ``held`` and ``similarity``: what the batch repeats of everything accepted on earlier days."""
-        if not self.live:
-            return df.select(F.col(id_col), F.lit(None).cast("string").alias("held"), F.lit(None).cast("double").alias("similarity")).limit(0)
+    def _matched(self, df: DataFrame, id_col: str, text: str, day: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Near-same class pairs (a, b, similarity), the batch's rows (``id_col``, a, ``__bd``) and the matched accepted ones (held, b, ``__hd``)."""
         sets = self._sets(df, id_col, text, day)
         cls = written(classes(sets, F.max("day").alias("day")), "batch")
         rows = segments(cls, 1, self.to, True, "day").drop("side")
@@ -329,8 +327,27 @@ class HistoryIndex:
         left = members(sets, cls, "day").select(F.col("id").alias(id_col), F.col("cls").alias("a"), F.col("day").alias("__bd"))
         rows = self._kept("members", "cls").where(kept)
         right = rows.join(both.select(F.col("b").alias("cls")).distinct().hint("shuffle_hash"), "cls", "left_semi").select(F.col("name").alias("held"), F.col("cls").alias("b"), F.col("day").alias("__hd"))
+        return both, left, right
+
+    def check(self, df: DataFrame, id_col: str, text: str, day: str = "1") -> DataFrame:
+        """``id_col``, ``held`` and ``similarity``: what the batch repeats of everything accepted on earlier days."""
+        if not self.live:
+            return df.select(F.col(id_col), F.lit(None).cast("string").alias("held"), F.lit(None).cast("double").alias("similarity")).limit(0)
+        both, left, right = self._matched(df, id_col, text, day)
         return both.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where("__hd < __bd").select(id_col, "held", "similarity")
 
+    def repeats(self, df: DataFrame, id_col: str, text: str, day: str = "1") -> DataFrame:
+        """One row per batch row that repeats something: how many accepted rows (``repeats``), the first of them by id
+        (``held``) and the highest ``similarity``.  Rows are counted by class and day, copies are not expanded."""
+        if not self.live:
+            return self.check(df, id_col, text, day).withColumn("repeats", F.lit(0).cast("long")).select(id_col, "repeats", "held", "similarity")
+        both, left, right = self._matched(df, id_col, text, day)
+        counts = right.groupBy("b", "__hd").agg(F.count(F.lit(1)).alias("k"), F.min("held").alias("held"))
+        days = left.select("a", "__bd").distinct()
+        per = both.join(counts.hint("merge"), "b").join(days.hint("merge"), "a").where("__hd < __bd").groupBy("a", "__bd").agg(
+            F.sum("k").alias("repeats"), F.min("held").alias("held"), F.max("similarity").alias("similarity"))
+        return left.join(per.hint("merge"), ["a", "__bd"]).select(id_col, "repeats", "held", "similarity")
+
 
 def repeated_rows(batch: DataFrame, batch_id: str, batch_text: str, batch_day: str, held: DataFrame, held_id: str, held_text: str, held_day: str,
                   threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:

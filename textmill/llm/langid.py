@@ -49,7 +49,7 @@ SHARPNESS = 25.0
 #: Share by which a line's best language must lead the document's own before the line counts as another language.
 LEAD = 0.60
 #: What a text in none of the languages is told by.
-OTHER, SIGMAS, OTHER_NAME = 0.35, 5.0, "other"
+OTHER, SIGMAS, OTHER_NAME = 0.45, 2.5, "other"
 NAMED = (*LANGS, OTHER_NAME)
 
 # Names of the languages beside their codes.

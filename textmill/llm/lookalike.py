@@ -4,8 +4,9 @@ Every text is brought to one form in which texts that look alike are equal and
 texts that look different stay different.
 
 Method: each character belongs to a *visual class* that has a member in one or
-more writing systems.  A token's resolved script sets (the systems in which each
-of its classes can be written) are intersected.  A token whose characters come
+more writing systems (Latin, Cyrillic, Greek, Armenian, Cherokee).  A token's resolved script
+sets (the script extensions of each character, and the systems in which its class can be
+written) are intersected.  A token whose characters come
 from several systems although one system can write it alone is a mixed-script
 confusable; one that several systems can write alone is a whole-script
 confusable.  Either way the consistent spelling is taken from the first system
@@ -25,23 +26,32 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterator
+from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Writing systems in order of preference for a consistent spelling.
-SYSTEMS = ("latin", "cyrillic", "greek")
-
-# Letters that look the same, one string of letters per system,
-# position by position.
-LATIN_OF_CYRILLIC = "ABCEHIJKMOPSTXYaceijopsxyhdqwYv"
-CYRILLIC = "АВСЕНІЈКМОРЅТХУасеіјорѕхуһԁԛԝҮѵ"
-LATIN_OF_GREEK = "ABEZHIKMNOPTYXov"
-GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧον"
+from ..sources.store import written
+from .batches import blocks
+
+# Letters that look the same, one string of letters per writing system and the Latin ones they
+# look like, position by position.  The systems stand in order of preference for a consistent spelling.
+CONFUSABLE = {
+    "cyrillic": ("АВСЕНІЈКМОРЅТХУасеіјорѕхуһԁԛԝҮѵӀӏ", "ABCEHIJKMOPSTXYaceijopsxyhdqwYvll"),
+    "greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοναρ", "ABEZHIKMNOPTYXovap"),
+    "armenian": ("ՕՏՍԼօհոսց", "OSULohnug"),
+    "cherokee": ("ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ", "ABCDEHJKLMPRSTVWZ"),
+}
+# Latin letters drawn like other Latin ones.
+LATIN_VARIANTS = ("ɑɡ", "ag")
+SYSTEMS = ("latin", *CONFUSABLE)
+#: All letters with a look-alike, and the Latin ones.
+FOREIGN_LETTERS = "".join(a for a, _ in CONFUSABLE.values()) + LATIN_VARIANTS[0]
+LATIN_LETTERS = "".join(b for _, b in CONFUSABLE.values()) + LATIN_VARIANTS[1]
 # Digits of the Persian set that look like Arabic-Indic ones (the others are drawn differently).
 PERSIAN_DIGITS = "۰۱۲۳۷۸۹"
 ARABIC_DIGITS = "٠١٢٣٧٨٩"
@@ -71,7 +81,7 @@ def _single_forms() -> dict[int, str | None]:
         category = unicodedata.category(ch)
         if category == "Zs":
             table[cp] = " "
-        elif kind in SAME_SHAPE or (kind == "<compat>" and category in ("Ll", "Lu", "Lo", "Lt") and len(rest.split()) > 1):
+        elif kind in SAME_SHAPE or (kind == "<compat>" and (category == "Nl" or (category in ("Ll", "Lu", "Lo", "Lt") and len(rest.split()) > 1))):
             table[cp] = unicodedata.normalize("NFKC", ch)
     for a, b in INVISIBLE_RANGES:
         table.update(dict.fromkeys(range(a, b + 1)))
@@ -86,7 +96,6 @@ def _tables() -> dict[str, object]:
     """Built once per Python worker."""
     if not _TABLES:
         forms = _single_forms()
-        pairs = dict(zip(CYRILLIC, LATIN_OF_CYRILLIC)) | dict(zip(GREEK, LATIN_OF_GREEK))
         _TABLES["forms"] = forms
         spread: list[list[int]] = []  # ranges over the keys beyond the basic plane; a character between them only costs a look-up
         for c in sorted(c for c in forms if c >= 0x10000):
@@ -95,19 +104,15 @@ def _tables() -> dict[str, object]:
             else:
                 spread.append([c, c])
         _TABLES["needs"] = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(forms) if c < 0x10000) + "".join(f"{chr(a)}-{chr(b)}" for a, b in spread) + "]")
-        _TABLES["class_of"] = pairs
-        member: dict[str, dict[str, str]] = {"cyrillic": {}, "greek": {}}
-        for ch, latin in zip(CYRILLIC, LATIN_OF_CYRILLIC):
-            member["cyrillic"].setdefault(latin, ch)
-        for ch, latin in zip(GREEK, LATIN_OF_GREEK):
-            member["greek"].setdefault(latin, ch)
-        _TABLES["member"] = member
+        _TABLES["class_of"] = dict(zip(FOREIGN_LETTERS, LATIN_LETTERS))
+        _TABLES["member"] = {system: dict(zip(reversed(latin), reversed(own))) for system, (own, latin) in CONFUSABLE.items()}
         _TABLES["digits"] = str.maketrans(PERSIAN_DIGITS, ARABIC_DIGITS)
     return _TABLES
 
 
-_FOREIGN = re.compile("[Ͱ-ϿЀ-ԯ]")
+_FOREIGN = regex.compile(rf"[{LATIN_VARIANTS[0]}]|[[\p{{scx=Cyrl}}\p{{scx=Grek}}\p{{scx=Armn}}\p{{scx=Cher}}]--[\p{{scx=Arab}}\p{{scx=Latn}}]]", regex.V1)
 _TOKEN = re.compile(r"[^\W\d_؀-ۿ]+")
+_SCRIPTS = {system: regex.compile(rf"\p{{scx={system}}}") for system in SYSTEMS}
 _MORE = "(?=[\u064b-\u065f\u0670]*[ؠ-ؿف-يٮ-ۓە])"
 _PERSIAN_ANY = re.compile(f"[{PERSIAN_DIGITS}کی]")
 _ARABIC_TOKEN = re.compile("[ؠ-ٟٮ-ەۮۯ]+")
@@ -115,35 +120,33 @@ _PERSIAN_MARK = re.compile(f"[{PERSIAN_ONLY}]")
 _ARABIC_SHARED = re.compile("[كيى]")
 
 
-def script_of(ch: str) -> str:
-    """The writing system of a letter among those compared, 'other' for the rest."""
-    cp = ord(ch)
-    if 0x0400 <= cp <= 0x052F:
-        return "cyrillic"
-    if 0x0370 <= cp <= 0x03FF or 0x1F00 <= cp <= 0x1FFF:
-        return "greek"
-    if cp < 0x250 or 0x1E00 <= cp <= 0x1EFF:
-        return "latin"
-    return "other"
+@lru_cache(1 << 16)
+def scripts_of(ch: str) -> frozenset[str]:
+    """The writing systems among those compared that have a character, by its script extensions; empty for the rest."""
+    return frozenset(s for s, p in _SCRIPTS.items() if p.match(ch))
+
+
+@lru_cache(1 << 16)
+def resolved(cls: str) -> frozenset[str]:
+    """The writing systems in which a visual class can be written."""
+    return scripts_of(cls) | {s for s, letters in _tables()["member"].items() if cls in letters}
 
 
 def resolve_token(token: str) -> tuple[str, frozenset[str], bool]:
-    """A token's consistent spelling, the systems that can write it alone, and whether it mixes systems."""
+    """A token's consistent spelling, the systems that can write it alone, and whether it mixes systems.
+
+    Characters of no system compared (an Arabic or Chinese letter, say) leave a token without a system."""
     tables = _tables()
     class_of, member = tables["class_of"], tables["member"]
     classes = [class_of.get(c, c) for c in token]
-    possible = set(SYSTEMS)
-    for c in classes:
-        own = {script_of(c)}
-        own |= {s for s in ("cyrillic", "greek") if c in member[s]}
-        possible &= own
-    mixed = len({script_of(c) for c in token} - {"other"}) > 1
+    possible = frozenset(SYSTEMS).intersection(*map(resolved, classes))
+    mixed = not frozenset(SYSTEMS).intersection(*(scripts_of(c) or SYSTEMS for c in token))
     pick = next((s for s in SYSTEMS if s in possible), None)
     if pick in (None, "latin"):
         spelled = "".join(classes)
     else:
         spelled = "".join(member[pick].get(c, c) for c in classes)
-    return spelled, frozenset(possible), mixed
+    return spelled, possible, mixed
 
 
 def _arabic_spelling(text: str) -> str:
@@ -183,23 +186,17 @@ def unify_text(text: str | None) -> str | None:
     return text
 
 
-def unify_many(texts: Iterable[str | None]) -> list[str | None]:
-    return [unify_text(t) for t in texts]
-
-
-@F.pandas_udf(T.StringType())
-def _unify_udf(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None or t is pd.NA else unify_text(t) for t in texts.tolist()], dtype=object)
-
-
-def unify(col: Column | str) -> Column:
-    """Column expression of :func:`unify_text` (Arrow-batched)."""
-    return _unify_udf(F.col(col) if isinstance(col, str) else col)
-
-
 def unified(df: DataFrame, text: str, out: str = "unified") -> DataFrame:
     """``df`` with the consistent form of ``text`` in ``out``; every row is kept."""
-    return df.withColumn(out, unify(text))
+    schema = T.StructType([*(f for f in df.schema.fields if f.name != out), T.StructField(out, T.StringType())])
+    rest = [c for c in df.columns if c != out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, len(rest)):
+            forms = pa.array([unify_text(t) for t in b.column(len(rest)).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(rest))), forms], names=schema.names)
+
+    return df.select(*rest, F.col(text).alias("__unify")).mapInArrow(run, schema)
 
 
 def token_report(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -208,7 +205,7 @@ def token_report(df: DataFrame, id_col: str, text: str) -> DataFrame:
     schema = T.StructType([T.StructField("__id", df.schema[id_col].dataType), *(T.StructField(n, T.StringType()) for n in ("token", "spelling", "systems", "kind"))])
 
     def run(batches):
-        for b in batches:
+        for b in blocks(batches, 1):
             rows: list[list] = [[], [], [], [], []]
             for rid, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not t or not _FOREIGN.search(t):
@@ -224,23 +221,29 @@ def token_report(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return df.select(F.col(id_col).alias("__id"), F.col(text).alias("__text")).mapInArrow(run, schema).withColumnRenamed("__id", id_col)
 
 
+def _keyed(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Id and two 128-bit names: of the form (``form``, ``form2``) and of the string itself (``variant``, ``variant2``); written, so texts are read once."""
+    forms = unified(df.select(F.col(id_col).alias("__id"), F.col(text).alias("__raw")).where(F.col(text).isNotNull() & F.col(id_col).isNotNull()), "__raw", "__form")
+    two = lambda c, a: (F.xxhash64(c).alias(a), F.xxhash64(F.lit(7), c).alias(f"{a}2"))
+    return written(forms.select("__id", *two("__form", "form"), *two("__raw", "variant")), "forms")
+
+
 def lookalike_groups(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row per record of a group of at least two *different* strings with one form:
-    ``id_col``, ``form``, ``variant`` (hash of the raw string), ``variants`` in the group.
+    """One row per record of a group of at least two *different* strings with one form: ``id_col``, ``group`` (its
+    smallest id), ``variant`` (the smallest id with the same string) and ``variants`` in the group.
 
-    Rows with null text are in no group.  Copies of one string share a variant.
-    Only a 64-bit pair of hashes is shuffled beside the ids, never the texts.
-    """
-    keyed = unified(df.select(F.col(id_col), F.col(text)).where(F.col(text).isNotNull()), text, "__form").select(
-        F.col(id_col), F.xxhash64("__form").alias("form"), F.xxhash64(F.lit(7), "__form").alias("form2"), F.xxhash64(text).alias("variant"))
-    seen = keyed.groupBy("form", "form2", "variant").agg(F.count(F.lit(1)).alias("__n"))
-    groups = seen.groupBy("form", "form2").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1")
-    return keyed.join(groups, ["form", "form2"]).select(id_col, "form", "form2", "variant", "variants")
+    Rows with null text are in no group.  Copies of one string share a variant.  Counts and minima are combined
+    before the shuffle, and only names and ids are shuffled, never the texts."""
+    keyed = _keyed(df, id_col, text)
+    seen = written(keyed.groupBy("form", "form2", "variant", "variant2").agg(F.min("__id").alias("first")), "variants")
+    groups = seen.groupBy("form", "form2").agg(F.count(F.lit(1)).alias("variants"), F.min("first").alias("group")).where("variants > 1")
+    named = seen.join(groups.hint("merge"), ["form", "form2"])
+    return keyed.join(named.hint("merge"), ["form", "form2", "variant", "variant2"]).select(F.col("__id").alias(id_col), "group", F.col("first").alias("variant"), "variants")
 
 
 def lookalike_pairs(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Pairs (smaller id first) of rows whose texts differ in characters but have one form."""
-    g = lookalike_groups(df, id_col, text)
-    a = g.select(F.col(id_col).alias(f"{id_col}_a"), "form", "form2", F.col("variant").alias("__va"))
-    b = g.select(F.col(id_col).alias(f"{id_col}_b"), "form", "form2", F.col("variant").alias("__vb"))
-    return a.join(b, ["form", "form2"]).where((F.col(f"{id_col}_a") < F.col(f"{id_col}_b")) & (F.col("__va") != F.col("__vb"))).select(f"{id_col}_a", f"{id_col}_b")
+    g = written(lookalike_groups(df, id_col, text), "lookalikes")
+    a = g.select(F.col(id_col).alias("__a"), "group", F.col("variant").alias("__va"))
+    b = g.select(F.col(id_col).alias("__b"), "group", F.col("variant").alias("__vb")).hint("merge")
+    return a.join(b, "group").where("__a < __b AND __va <> __vb").select(F.col("__a").alias(f"{id_col}_a"), F.col("__b").alias(f"{id_col}_b"))

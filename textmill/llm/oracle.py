@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from .lookalike import ARABIC_DIGITS, CYRILLIC, GREEK, INVISIBLE_RANGES, LATIN_OF_CYRILLIC, LATIN_OF_GREEK, PERSIAN_DIGITS
+from .lookalike import ARABIC_DIGITS, FOREIGN_LETTERS, INVISIBLE_RANGES, LATIN_LETTERS, PERSIAN_DIGITS
 
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 MARKS = r"\x{64b}-\x{65f}\x{670}"
@@ -36,7 +36,7 @@ def unify_stages(source: str, text: str, *cols: str) -> str:
     for x, y in more:
         expr = f"replace({expr}, {_q(x)}, {_q(y)})"
     expr = f"nfc_normalize(regexp_replace({expr}, '{invisible}', '', 'g'))"
-    expr = f"nfc_normalize(translate({expr}, {_q(CYRILLIC + GREEK)}, {_q(LATIN_OF_CYRILLIC + LATIN_OF_GREEK)}))"
+    expr = f"nfc_normalize(translate({expr}, {_q(FOREIGN_LETTERS)}, {_q(LATIN_LETTERS)}))"
     for x, y in (("ک", "ك"), ("ی", "ي")) * 2:
         expr = rf"regexp_replace({expr}, '{x}([{MARKS}]*[{LETTERS}])', '{y}\1', 'g')"
     expr = f"translate(replace({expr}, 'ی', 'ى'), '{PERSIAN_DIGITS}', '{ARABIC_DIGITS}')"
@@ -76,15 +76,36 @@ ISLANDS = (
 
 def oracle_sql() -> dict[str, str]:
     near = "2 * c >= 0.75 * (p.n + q.n)"
+    words4 = word_stages("final_data", "review_description", "f", "review_id")
+    seven = (
+        f"{word_stages('feedback', 'text', 'b', 'feedback_row', 'batch_day')}, {word_stages('train_feedback', 'text', 'h', 'override_id', 'captured_at')}, j AS ({_common('b', 'h')}), "
+        f"o AS (SELECT a, b, 2 * c / (p.n + q.n) AS s FROM j JOIN bn p ON a = p.feedback_row JOIN hn q ON b = q.override_id WHERE {near} AND substr(captured_at, 1, 10)::DATE < batch_day::DATE)"
+    )
     split = word_stages("splits", "text", "s", "row_id", "split", "source") + ", tw AS (SELECT sw.* FROM sw JOIN sn ON id = row_id WHERE split = 'train'), ew AS (SELECT sw.* FROM sw JOIN sn ON id = row_id WHERE split <> 'train')"
     overlaps = f"WITH {split}, j AS ({_common('t', 'e')}), o AS (SELECT a, b, p.source AS train_source, q.split AS eval_split, c, p.n + q.n AS nn FROM j JOIN sn p ON a = p.row_id JOIN sn q ON b = q.row_id WHERE {near})"
+    labels = "('positive', 'negative', 'neutral')"
+    votes = (
+        "WITH raw AS (SELECT review_id AS item, trim(agent_id) AS agent, lower(trim(corrected_label)) AS label FROM feedback UNION ALL SELECT review_id, trim(second_agent_id), lower(trim(second_label)) FROM overrides), "
+        f"v AS (SELECT item, agent, min(label) AS l FROM raw WHERE item IS NOT NULL AND agent <> '' AND label IN {labels} GROUP BY item, agent HAVING min(label) = max(label)), "
+        f"r AS (SELECT review_id AS item FROM overrides WHERE adjudicated_label <> '' GROUP BY review_id HAVING min(lower(trim(adjudicated_label))) = max(lower(trim(adjudicated_label))) AND min(lower(trim(adjudicated_label))) IN {labels}), "
+        "c AS (SELECT item, l, count(*) AS n FROM v GROUP BY item, l)"
+    )
     return {
+        "p1_agreement": votes + " SELECT item AS review_id, sum(n)::BIGINT AS agents, count(*) AS labels, round(sum(n * (n - 1)) / nullif(sum(n) * (sum(n) - 1), 0), 6) AS agreement, item IN (SELECT item FROM r) AS ruled FROM c GROUP BY item",
+        "p8_invariants": "SELECT container_kind, 0::BIGINT AS lost, 0::BIGINT AS twice, 0::BIGINT AS split, 0::BIGINT AS renumbered, 0::BIGINT AS over, 0::BIGINT AS gaps FROM containers",
+        "p9_invariants": "SELECT source, 0::BIGINT AS over_repeats, true AS as_wanted FROM mix_targets",
         "p2_found": f"WITH {unify_stages('final_data', 'review_description', 'review_id')} SELECT a.review_id AS review_id_a, b.review_id AS review_id_b FROM uni a JOIN uni b ON a.t = b.t AND a.raw <> b.raw AND a.review_id < b.review_id",
+        "p2_groups": f"WITH {unify_stages('final_data', 'review_description', 'review_id')}, v AS (SELECT t, raw, min(review_id) AS variant FROM uni WHERE raw IS NOT NULL GROUP BY t, raw), g AS (SELECT t, count(*) AS variants, min(variant) AS \"group\" FROM v GROUP BY t HAVING count(*) > 1) "
+                     "SELECT review_id, \"group\", variant, variants FROM uni JOIN v USING (t, raw) JOIN g USING (t)",
+        "p4_groups": f"WITH RECURSIVE {words4}, j AS ({_common('f', 'f', 'AND x.id < y.id')}), e AS (SELECT a, b, 2 * c = p.n + q.n AS same FROM j JOIN fn p ON a = p.review_id JOIN fn q ON b = q.review_id WHERE {near}), "
+                     "two AS (SELECT a, b, same FROM e UNION ALL SELECT b, a, same FROM e), reach(x, y) AS (SELECT a, b FROM two UNION SELECT x, b FROM reach JOIN two ON y = a), r AS (SELECT x, min(y) AS g FROM reach GROUP BY x), "
+                     "k AS (SELECT a, min(b) FILTER (WHERE same) AS c, count(*) FILTER (WHERE same) AS s, count(*) AS n FROM two GROUP BY a) "
+                     "SELECT review_id, least(review_id, c) AS cls, coalesce(s, 0) + 1 AS members, coalesce(n, 0) AS links, least(review_id, g) AS \"group\" FROM final_data LEFT JOIN k ON review_id = k.a LEFT JOIN r ON review_id = r.x WHERE review_id IS NOT NULL",
         "p4_found": f"WITH {word_stages('final_data', 'review_description', 'f', 'review_id')}, j AS ({_common('f', 'f', 'AND x.id < y.id')}) SELECT a AS review_id_a, b AS review_id_b FROM j JOIN fn p ON a = p.review_id JOIN fn q ON b = q.review_id WHERE {near}",
         "p6_found": overlaps + " SELECT least(a, b) AS row_id_a, greatest(a, b) AS row_id_b FROM o",
         "p6_counts": overlaps + " SELECT eval_split, train_source, count(DISTINCT b) AS eval_rows, count(DISTINCT a) AS train_rows, count(*) AS row_pairs, count(*) FILTER (WHERE 2 * c = nn) AS same_words FROM o GROUP BY eval_split, train_source",
-        "p7_found": f"WITH {word_stages('feedback', 'text', 'b', 'feedback_row', 'batch_day')}, {word_stages('train_feedback', 'text', 'h', 'override_id', 'captured_at')}, j AS ({_common('b', 'h')}) "
-                    f"SELECT a AS feedback_row, b AS override_id FROM j JOIN bn p ON a = p.feedback_row JOIN hn q ON b = q.override_id WHERE {near} AND substr(captured_at, 1, 10)::DATE < batch_day::DATE",
+        "p7_found": f"WITH {seven} SELECT a AS feedback_row, b AS override_id FROM o",
+        "p7_repeats": f"WITH {seven} SELECT a AS feedback_row, count(*) AS repeats, min(b) AS override_id, round(max(s), 6) AS similarity FROM o GROUP BY a",
         "p10_found": f"WITH {WINDOWS} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM (SELECT DISTINCT s, doc_id FROM k) a JOIN (SELECT DISTINCT s, doc_id FROM k) b ON a.s = b.s AND a.doc_id < b.doc_id",
         "p10_spans": f"WITH {WINDOWS}, {ISLANDS} SELECT doc_id, start, chars FROM spans",
         "p10_coverage": f"WITH {WINDOWS}, {ISLANDS}, p AS (SELECT doc_id, sum(least(160, coalesce(nxt - pos, 160)))::BIGINT AS shared FROM (SELECT doc_id, pos, lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM starts) GROUP BY doc_id), "

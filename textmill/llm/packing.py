@@ -9,10 +9,13 @@ each item's rank among those of its length.
 An item is never split unless it exceeds the capacity; then it is cut into pieces of the
 capacity and a last one with the rest.
 
-Scale: only the histogram (at most ``capacity`` rows a kind) reaches the driver, and only
-the slots of the patterns go out, a table bounded by the capacity.  Ranks are taken within
-(length, part), parts drawn by a hash of the id, so a length that a third of all items
-share is ranked by many tasks.
+One addition: a new pack, which is the shortest one, takes equal lengths until the next doesn't fit.
+
+Scale: only the histogram (at most ``capacity`` rows a kind) reaches the driver.  The slots of the
+patterns go out to the executors where they are at most ``MOST_SLOTS``, else they are joined as a table, by
+ranges of ``RANGE`` ranks, so that no item meets the slots of other ranges.  Ranks are taken within
+(length, part), parts drawn by a hash of the id and as many as hold ``PART_ITEMS`` items each, so a length that
+a third of all items share is ranked by many tasks.
 
 Defined results: items without a token (null or empty text) are in no container; equal
 lengths are filled in order of id; empty input gives no container; a kind without a
@@ -31,9 +34,10 @@ from pyspark.sql import functions as F
 
 from ..sources.store import written
 
-PARTS = 64
-#: At most so many slots are sent to the executors; beyond it they are joined as a table.
-MOST_SLOTS = 2_000_000
+#: Parts of a length at least, and items of one part on average at most.
+PARTS, PART_ITEMS = 64, 500_000
+#: At most so many slots (40 bytes each) are sent to the executors; beyond it they are joined as a table, by ranges of so many ranks.
+MOST_SLOTS, RANGE = 200_000, 4096
 
 
 def pack_histogram(counts: dict[int, int], capacity: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
@@ -94,11 +98,13 @@ def pieces(items: DataFrame, kinds: DataFrame) -> DataFrame:
     return cut.select("kind", "capacity", "id", "piece", F.least("capacity", F.col("tokens") - F.col("piece") * F.col("capacity")).alias("length"))
 
 
-def packed(items: DataFrame, kinds: DataFrame, parts: int = PARTS) -> DataFrame:
+def packed(items: DataFrame, kinds: DataFrame) -> DataFrame:
     """``kind``, ``container`` (from 0), ``id``, ``piece``, ``length``: the container of every piece.
 
     ``items`` has ``id`` and ``tokens``; ``kinds`` has ``kind`` and ``capacity``."""
-    rows = pieces(items, kinds).withColumn("part", F.pmod(F.xxhash64("id", "piece"), F.lit(parts)).cast("int"))
+    every = pieces(items, kinds)
+    parts = max(PARTS, -(-every.count() // PART_ITEMS))
+    rows = every.withColumn("part", F.pmod(F.xxhash64("id", "piece"), F.lit(parts)).cast("int"))
     per_part = written(rows.groupBy("kind", "capacity", "length", "part").agg(F.count(F.lit(1)).alias("n")), "histogram")
     tables = {}
     for r in per_part.groupBy("kind", "capacity", "length").agg(F.sum("n").alias("n")).collect():  # at most the sum of the capacities
@@ -134,14 +140,21 @@ def packed(items: DataFrame, kinds: DataFrame, parts: int = PARTS) -> DataFrame:
 
 
 def _joined(ranked: DataFrame, table: np.ndarray, kinds: list[tuple[str, int]]) -> DataFrame:
+    """The slot of each rank, from a table of slots: both are put in order within ranges of ranks, and every rank takes the last slot before it."""
     import pandas as pd
 
     t = pd.DataFrame(table, columns=["k", "length", "first", "base", "times"])
     t["kind"] = [kinds[i][0] for i in t.pop("k")]
-    t["last"] = t.groupby(["kind", "length"])["first"].shift(-1)
+    t["last"] = t.groupby(["kind", "length"])["first"].shift(-1, fill_value=np.iinfo(np.int64).max)
     slot = ranked.sparkSession.createDataFrame(t)
-    inside = (F.col("rank") >= F.col("first")) & (F.col("last").isNull() | F.isnan("last") | (F.col("rank") < F.col("last")))
-    return ranked.join(slot, ["kind", "length"]).where(inside).select("kind", (F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("times"))).cast("long").alias("container"), "id", "piece", "length")
+    top = ranked.groupBy("kind", "length").agg(F.max("rank").alias("top"))
+    within = slot.join(top, ["kind", "length"]).withColumn("last", F.least(F.col("last") - 1, "top")).where("first <= last")
+    within = within.withColumn("range", F.explode(F.sequence(F.floor(F.col("first") / RANGE), F.floor(F.col("last") / RANGE))))
+    marks = within.select("kind", "length", "range", F.greatest("first", F.col("range") * RANGE).alias("rank"), F.lit(None).cast(ranked.schema["id"].dataType).alias("id"), F.lit(None).cast("long").alias("piece"), F.struct("first", "base", "times").alias("slot"))
+    both = ranked.select("kind", "length", F.floor(F.col("rank") / RANGE).alias("range"), "rank", "id", "piece", F.lit(None).cast(marks.schema["slot"].dataType).alias("slot")).unionByName(marks)
+    w = Window.partitionBy("kind", "length", "range").orderBy("rank", F.col("slot").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    s = both.withColumn("at", F.last("slot", True).over(w)).where("slot IS NULL")
+    return s.select("kind", (F.col("at.base") + F.floor((F.col("rank") - F.col("at.first")) / F.col("at.times"))).cast("long").alias("container"), "id", "piece", "length")
 
 
 def containers(filled: DataFrame, kinds: DataFrame) -> DataFrame:

@@ -11,9 +11,11 @@ at equal places, so they meet in the minimiser's bucket.
 2. The rest travel as packed strings, one per super-k-mer, to their buckets.  Equal
    strings become one class first, with the smallest and largest record that hold them,
    so a passage in a third of all records costs one string, not a third of the rows.
-3. In each bucket the windows of the classes are sorted and equal ones compared letter by
-   letter.  Buckets of more than ``HOT`` different strings are spread over the cluster
-   window by window instead of being held by one task.
+3. In each bucket the windows of the classes are sorted by a hash, and those that share one are
+   grouped by their letters.  Buckets of more than ``HOT`` different strings are spread over the cluster
+   window by window instead of being held by one task; there, too, the letters decide.
+
+Classes and window groups are named by 128 bits.
 
 Any span of ``length`` or more characters is found; there is no cap.  Defined results:
 null texts and texts shorter than ``length`` share nothing; a span that recurs only inside
@@ -142,15 +144,28 @@ def window_keys(strings: list[str], length: int) -> tuple[np.ndarray, np.ndarray
     return row, where - begin[row], rolling(code, length)[where]
 
 
-# A window group is what two or more classes share: wid, the class, and the class's window interval in it.
-GROUPS = "wid long, cid long, a int, b int"
+# A window group is what two or more classes share: its name, the class, and the class's window interval in it.
+GROUPS = "wid long, wid2 long, cid long, cid2 long, a int, b int"
+
+
+def by_letters(group: np.ndarray, texts: list[str]) -> np.ndarray:
+    """Groups (ascending numbers) parted where their texts differ: a number of the group and the text for each member."""
+    head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
+    first = np.repeat(head, np.diff(np.r_[head, len(group)]))
+    out = group.astype(np.int64) * 1
+    known: dict[tuple[int, str], int] = {}
+    top = int(out.max()) + 1 if len(out) else 0
+    for i, f in enumerate(first.tolist()):
+        if i != f and texts[i] != texts[f]:
+            out[i] = known.setdefault((f, texts[i]), top + len(known))
+    return out
 
 
 def _bucket_groups(length: int):
     """Window groups of whole buckets, for a partition sorted by minimiser."""
 
     def groups(table: pa.Table) -> pa.RecordBatch:
-        cid, low, high = (np.asarray(table.column(c).combine_chunks()) for c in ("cid", "low", "high"))
+        cid, cid2, low, high = (np.asarray(table.column(c).combine_chunks()) for c in ("cid", "cid2", "low", "high"))
         strings = table.column("s").to_pylist()
         mh = np.asarray(table.column("mh").combine_chunks())
         row, off, key = window_keys(strings, length)
@@ -159,30 +174,32 @@ def _bucket_groups(length: int):
         k, r, o = key[order], row[order], off[order]
         head = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
         size = np.diff(np.r_[head, len(k)])
-        shared = np.minimum.reduceat(low[r], head) < np.maximum.reduceat(high[r], head)
-        several = shared & (size > 1)
-        # letter-by-letter check of what shares a key with the first of its group
+        several = (np.minimum.reduceat(low[r], head) < np.maximum.reduceat(high[r], head)) & (size > 1)
         take = np.repeat(several, size)
         g = np.repeat(np.arange(len(head)), size)[take]
-        r, o, first = r[take], o[take], np.repeat(head, size)[take]
-        fr, fo = row[order][first], off[order][first]
-        good = np.fromiter((fr[i] == r[i] or strings[fr[i]][fo[i] : fo[i] + length] == strings[r[i]][o[i] : o[i] + length] for i in range(len(r))), bool, len(r)) if len(r) else np.zeros(0, bool)
-        r, o, g = r[good], o[good], g[good]
+        r, o = r[take], o[take]
+        g = by_letters(g, [strings[i][j : j + length] for i, j in zip(r.tolist(), o.tolist())])
+        order = np.lexsort((o, r, g))
+        g, r, o = g[order], r[order], o[order]
+        if len(g):  # what the letters have parted may be held by one record only
+            head = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+            still = np.repeat(np.minimum.reduceat(low[r], head) < np.maximum.reduceat(high[r], head), np.diff(np.r_[head, len(g)]))
+            g, r, o = g[still], r[still], o[still]
         # windows with the same classes are one group; a class's interval in it runs from its first to its last
         if len(r):
             start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
-            members = np.add.reduceat(mix(cid[r].view(np.uint64)), start)
-            wid = np.repeat(mix(members), np.diff(np.r_[start, len(g)])).view(np.int64)
-            order = np.lexsort((o, r, wid))
-            wid, r, o = wid[order], r[order], o[order]
+            size = np.diff(np.r_[start, len(g)])
+            wid, wid2 = (np.repeat(mix(np.add.reduceat(mix(c[r].view(np.uint64)), start)), size).view(np.int64) for c in (cid, cid2))
+            order = np.lexsort((o, r, wid2, wid))
+            wid, wid2, r, o = wid[order], wid2[order], r[order], o[order]
             # intervals break where windows are not consecutive
-            head = np.flatnonzero(np.r_[True, (wid[1:] != wid[:-1]) | (r[1:] != r[:-1]) | (o[1:] > o[:-1] + 1)])
+            head = np.flatnonzero(np.r_[True, (wid[1:] != wid[:-1]) | (wid2[1:] != wid2[:-1]) | (r[1:] != r[:-1]) | (o[1:] > o[:-1] + 1)])
             tail = np.r_[head[1:] - 1, len(r) - 1]
-            wid, c, a, b = wid[head], cid[r[head]], o[head], o[tail]
+            names, c, c2, a, b = (wid[head], wid2[head]), cid[r[head]], cid2[r[head]], o[head], o[tail]
         else:
-            wid = c = np.zeros(0, np.int64)
-            a = b = np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(wid), pa.array(c), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["wid", "cid", "a", "b"])
+            c = c2 = a = b = np.zeros(0, np.int64)
+            names = (c, c)
+        return pa.RecordBatch.from_arrays([*map(pa.array, names), pa.array(c), pa.array(c2), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["wid", "wid2", "cid", "cid2", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -206,13 +223,13 @@ def _bucket_groups(length: int):
 
 def _hot_windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                row, off, key = window_keys(b.column("s").to_pylist(), length)
-                key = mix(key ^ mix(np.asarray(b.column("mh")).view(np.uint64))[row])
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(b.column(c).take(at) for c in ("cid", "low", "high")), pa.array(off.astype(np.int32))], names=["wid", "cid", "low", "high", "a"])
+        for b in blocks(batches, b_text):
+            row, off, key = window_keys(b.column("s").to_pylist(), length)
+            key = mix(key ^ mix(np.asarray(b.column("mh")).view(np.uint64))[row])
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(b.column(c).take(at) for c in ("cid", "cid2", "low", "high")), pa.array(off.astype(np.int32))], names=["key", "cid", "cid2", "low", "high", "a"])
 
+    b_text = 3
     return run
 
 
@@ -224,34 +241,41 @@ class Shared:
         docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull() & (F.length("text") >= length))
         rows = written(cut(docs, length, seed), "kmers")
         held = rows.groupBy("mh").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("mh")
-        runs = rows.join(held, "mh", "left_semi").groupBy("id").agg(F.collect_list(F.struct("mh", "start", "cnt")).alias("runs"))  # bounded by the record's length
-        self.packed = written(pack(docs.join(runs, "id"), length).withColumn("cid", F.xxhash64("mh", "s")), "packed")
-        self.classes = written(self.packed.groupBy("mh", "cid", "s").agg(F.min("id").alias("low"), F.max("id").alias("high")), "kclasses")
+        runs = rows.join(held.hint("merge"), "mh", "left_semi").groupBy("id").agg(F.collect_list(F.struct("mh", "start", "cnt")).alias("runs"))  # bounded by the record's length
+        name = lambda *c: (F.xxhash64(*c), F.xxhash64(F.lit(7), *c))
+        self.packed = written(pack(docs.join(runs.hint("merge"), "id"), length).withColumns(dict(zip(("cid", "cid2"), name("mh", "s")))), "packed")
+        self.classes = written(self.packed.groupBy("mh", "cid", "cid2", "s").agg(F.min("id").alias("low"), F.max("id").alias("high")), "kclasses")
         sizes = self.classes.groupBy("mh").count()
-        mixed = self.classes.join(sizes.where(f"count > 1 AND count <= {hot}").select("mh"), "mh", "left_semi")
+        mixed = self.classes.join(sizes.where(f"count > 1 AND count <= {hot}").select("mh").hint("merge"), "mh", "left_semi")
         normal = mixed.repartition("mh").sortWithinPartitions("mh").mapInArrow(_bucket_groups(length), GROUPS)
-        big = self.classes.join(sizes.where(f"count > {hot}").select("mh"), "mh", "left_semi").repartition("cid").mapInArrow(_hot_windows(length), "wid long, cid long, low long, high long, a int")
-        keep = big.groupBy("wid").agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x < y").select("wid")
-        spread = big.join(keep, "wid", "left_semi").select("wid", "cid", "a", F.col("a").alias("b"))
+        big = self.classes.join(sizes.where(f"count > {hot}").select("mh").hint("merge"), "mh", "left_semi").select("mh", "cid", "cid2", "s", "low", "high")
+        windows = big.repartition("cid").mapInArrow(_hot_windows(length), "key long, cid long, cid2 long, low long, high long, a int")
+        shared = lambda df, *by: df.groupBy(*by).agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x < y").select(*by)
+        met = windows.join(shared(windows, "key").hint("merge"), "key", "left_semi").join(self.classes.select("cid", "cid2", "s").hint("merge"), ["cid", "cid2"])
+        lettered = met.select("cid", "cid2", "low", "high", "a", F.substring(F.col("s"), F.col("a") + 1, F.lit(length)).alias("w"))
+        lettered = lettered.select("cid", "cid2", "low", "high", "a", *(c.alias(n) for n, c in zip(("wid", "wid2"), name("w"))))
+        spread = lettered.join(shared(lettered, "wid", "wid2").hint("merge"), ["wid", "wid2"], "left_semi").select("wid", "wid2", "cid", "cid2", "a", F.col("a").alias("b"))
         self.groups = written(normal.unionByName(spread), "groups")
 
     def pairs(self) -> DataFrame:
         """Pairs of records (smaller first) that share a span, each once."""
-        of = self.packed.select("cid", "id").distinct()
-        within = self.classes.where("low < high").select("cid").join(of, "cid").select(F.col("cid").alias("g"), "id")
-        across = self.groups.select("wid", "cid").distinct().join(of, "cid").select(F.col("wid").alias("g"), "id").distinct()
+        of, c, g = self.packed.select("cid", "cid2", "id").distinct(), ["cid", "cid2"], ["g", "g2"]
+        within = self.classes.where("low < high").select(*c).join(of.hint("merge"), c).select(F.col("cid").alias("g"), F.col("cid2").alias("g2"), "id")
+        across = self.groups.select("wid", "wid2", *c).distinct().join(of.hint("merge"), c).select(F.col("wid").alias("g"), F.col("wid2").alias("g2"), "id").distinct()
         both = written(within.unionByName(across), "holders")
         # pieces of one passage are held by the same records: one group per set of holders is enough
-        holders = both.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("y"))
-        once = both.join(holders.groupBy("n", "x", "y").agg(F.min("g").alias("g")).select("g"), "g", "left_semi")
-        a, b = once.select("g", F.col("id").alias("x")), once.select("g", F.col("id").alias("y"))
-        return a.join(b, "g").where("x < y").select(F.col("x").alias(f"{self.id_col}_a"), F.col("y").alias(f"{self.id_col}_b")).distinct()
+        holders = both.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("y"))
+        one = holders.groupBy("n", "x", "y").agg(F.min(F.struct(*g)).alias("g")).select("g.*")
+        once = both.join(one.hint("merge"), g, "left_semi")
+        a, b = once.select(*g, F.col("id").alias("x")), once.select(*g, F.col("id").alias("y"))
+        return a.join(b.hint("merge"), g).where("x < y").select(F.col("x").alias(f"{self.id_col}_a"), F.col("y").alias(f"{self.id_col}_b")).distinct()
 
     def spans(self) -> DataFrame:
         """Maximal shared stretches: ``id``, ``start`` (from 0), ``chars``."""
-        whole = self.classes.where("low < high").select("cid", F.lit(0).alias("a"), F.lit(None).cast("int").alias("b"))
-        parts = self.groups.select("cid", "a", "b").distinct()
-        marked = self.packed.select("id", "cid", "start", "cnt").join(whole.unionByName(parts), "cid").select(
+        c = ["cid", "cid2"]
+        whole = self.classes.where("low < high").select(*c, F.lit(0).alias("a"), F.lit(None).cast("int").alias("b"))
+        parts = self.groups.select(*c, "a", "b").distinct()
+        marked = self.packed.select("id", *c, "start", "cnt").join(whole.unionByName(parts).hint("merge"), c).select(
             "id", (F.col("start") + F.col("a")).alias("f"), (F.col("start") + F.coalesce("b", F.col("cnt") - 1) + self.length).alias("t"))
         w = Window.partitionBy("id").orderBy("f", "t")  # bounded by the record's length
         # two windows belong to one stretch only if every window between them is shared

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import blocks
+
 #: A rank file of a byte-level tokenizer; any other path can be given.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the pattern that splits text before the merges of the rank files.
@@ -39,7 +41,7 @@ def token_counts(df: DataFrame, text: str, *keep: str, vocabulary: str = VOCABUL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(sent.value).encode_ordinary
-        for b in batches:
+        for b in blocks(batches, len(keep)):
             counts = [len(encode(t)) if t else 0 for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(counts, pa.int64())], names=schema.names)
 
