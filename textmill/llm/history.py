@@ -259,8 +259,8 @@ class HistoryIndex:
         return f"textmill_{name}_{hashlib.md5(self.path.encode()).hexdigest()}"
 
     def _append(self, df: DataFrame, name: str, by: str) -> None:
-        """Append to a bucketed table, one file a bucket."""
-        df.repartition(self.buckets, by).write.format("parquet").bucketBy(self.buckets, by).option("path", f"{self.path}/{name}").mode("append").saveAsTable(self._table(name))
+        """Append to a bucketed table; ``df`` has the partitions of its buckets, so that there is one file a bucket."""
+        df.write.format("parquet").bucketBy(self.buckets, by).option("path", f"{self.path}/{name}").mode("append").saveAsTable(self._table(name))
 
     def _kept(self, name: str, by: str) -> DataFrame:
         """A bucketed table; one of an earlier session is declared again."""
@@ -290,8 +290,8 @@ class HistoryIndex:
         cls = written(classes(sets, F.min("day").alias("day"), base=self.version + 1), "classes")
         if self.to is None:
             self.to = routing(cls, shards=self.buckets * self.SHARDS_PER_BUCKET)
-        self._append(cls.select("cls", "elems", F.lit(name).alias("batch")), "classes", "cls")
-        self._append(members(sets, cls, "day").select(F.col("id").alias("name"), "day", "cls", F.lit(name).alias("batch")), "members", "cls")
+        self._append(cls.select("cls", "elems", F.lit(name).alias("batch")).repartition(self.buckets, "cls"), "classes", "cls")
+        self._append(members(sets, cls, "day").select(F.col("id").alias("name"), "day", "cls", F.lit(name).alias("batch")).repartition(self.buckets, "cls"), "members", "cls")
         rows = segments(cls, 0, self.to, False, "day").drop("side")
         self._append_arrays(rows, name)
         live, level, made = list(self.live), 0, name
@@ -305,7 +305,7 @@ class HistoryIndex:
         self._commit([*live, (level, made)], [*self.accepted, name])
 
     def _append_arrays(self, rows: DataFrame, name: str) -> None:
-        self._append(written(rows.repartition(self.buckets, "shard").sortWithinPartitions("shard", "day").mapInArrow(_build(name), ARRAYS), "arrays"), "arrays", "shard")
+        self._append(rows.repartition(self.buckets, "shard").sortWithinPartitions("shard", "day").mapInArrow(_build(name), ARRAYS), "arrays", "shard")
 
     def _arrays(self, names: list[str]) -> DataFrame:
         return self._kept("arrays", "shard").where(F.col("name").isin(names))
