@@ -110,7 +110,15 @@ def _tables() -> dict[str, object]:
     return _TABLES
 
 
-_FOREIGN = regex.compile(rf"[{LATIN_VARIANTS[0]}]|[[\p{{scx=Cyrl}}\p{{scx=Grek}}\p{{scx=Armn}}\p{{scx=Cher}}]--[\p{{scx=Arab}}\p{{scx=Latn}}]]", regex.V1)
+def _ranges(pattern: regex.Pattern) -> str:
+    """A character class of the characters that a pattern matches, for the plain and faster engine."""
+    found = [ord(c) for c in pattern.findall("".join(map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x20000)))))]
+    heads = [c for i, c in enumerate(found) if not i or found[i - 1] != c - 1]
+    tails = [c for i, c in enumerate(found) if i + 1 == len(found) or found[i + 1] != c + 1]
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(heads, tails)) + "]"
+
+
+_FOREIGN = re.compile(_ranges(regex.compile(rf"[{LATIN_VARIANTS[0]}]|[[\p{{scx=Cyrl}}\p{{scx=Grek}}\p{{scx=Armn}}\p{{scx=Cher}}]--[\p{{scx=Arab}}\p{{scx=Latn}}]]", regex.V1)))
 _TOKEN = re.compile(r"[^\W\d_؀-ۿ]+")
 _SCRIPTS = {system: regex.compile(rf"\p{{scx={system}}}") for system in SYSTEMS}
 _MORE = "(?=[\u064b-\u065f\u0670]*[ؠ-ؿف-يٮ-ۓە])"
