@@ -184,9 +184,9 @@ def test_votes(spark):
 def test_merge_is_idempotent(spark):
     schema = ", ".join(f"{c} string" for c in feedback.MERGED)
     held = spark.createDataFrame([tuple("old" if c == "text" else "x" for c in feedback.MERGED)], schema)
-    new = spark.createDataFrame([("old", "n"), ("new", "n")], "text string, label string")
+    new = spark.createDataFrame([("old", "n", "1", "a"), ("new", "n", "2", "b"), (" new", "m", "1", "c"), ("OLD ", "n", "1", "d")], "text string, label string, captured_at string, override_id string")
     once = feedback.merged(held, new)
-    assert once.count() == 2 and rows(feedback.merged(once, new)) == rows(once)
+    assert [tuple(r) for r in once.where("text <> 'old'").select("text", "label", "company").collect()] == [(" new", "m", "")] and rows(feedback.merged(once, new)) == rows(once)
 
 
 def test_capped(spark):
@@ -249,7 +249,7 @@ def test_reports(spark, tmp_path):
     r = files.read_json_reports(spark, str(tmp_path), "overall string, n int")
     assert r.count() == 3 and files.newest(r).first()["report"]["overall"] == "FAIL"
     cal = files.calendar(spark, [{"name": "x", "date": "2026-11-01"}, {"name": "y"}, "bad", {"name": "z", "rule": "black_friday", "confirmed": True}])
-    assert rows(cal.select("name")) == [("x",), ("z",)]
+    assert rows(cal.select("name")) == [("x",), ("y",), ("z",)] and files.calendar(spark, None).count() == 0
     assert "| a |" in files.markdown(spark.createDataFrame([(1,)], "a int"))
 
 

@@ -44,13 +44,21 @@ def noise(*p95: Column) -> Column:
     return F.try_divide(F.greatest(*p95) - F.least(*p95), F.least(*p95))
 
 
-def current(cached: DataFrame, source: DataFrame) -> bool:
-    """Whether a cached table has as many rows as what it was made from."""
-    return cached.count() == source.count()
-
-
 def newest_per(df: DataFrame, by: str, order: str, keep: int) -> DataFrame:
     """The last ``keep`` rows of every group: a bounded history."""
     from pyspark.sql import Window
 
     return df.withColumn("__r", F.row_number().over(Window.partitionBy(by).orderBy(F.desc(order)))).where(F.col("__r") <= keep).drop("__r")
+
+
+def label_ids(df: DataFrame, column: str, id2label: dict[int, str] | None = None) -> DataFrame:
+    """``label``, ``id``: of a given map in the order of its ids, else the labels that occur, numbered in the order of their text from 0.
+
+    The labels that occur are few; a label a map lacks has no row."""
+    spark = df.sparkSession
+    if id2label:
+        return spark.createDataFrame([(v, int(k)) for k, v in sorted(id2label.items(), key=lambda x: int(x[0]))], "label string, id int")
+    from pyspark.sql import Window
+
+    seen = df.where(F.col(column).isNotNull()).select(F.col(column).alias("label")).distinct()
+    return seen.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias("id"))

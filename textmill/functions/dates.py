@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,31 @@ def in_lead_window(day: Column, event: Column, lead_days: Column) -> Column:
 def utc_day(ts: Column) -> Column:
     """The UTC day of an ISO time stamp in any of its spellings (no offset counts as UTC); null if unreadable."""
     return F.to_date(F.to_utc_timestamp(ts.try_cast("timestamp"), F.current_timezone()))
+
+
+def held_seconds(since: Column, now: Column) -> Column:
+    """Seconds from one ISO time stamp to another; null if either is unreadable."""
+    at = lambda c: F.unix_micros(c.try_cast("timestamp"))
+    return (at(now) - at(since)) / 1_000_000
+
+
+def resolved_in(year: Column, date: Column, rule: Column) -> Column:
+    """The day of an event in a year: its date moved there, or by its rule; null where there is neither or the rule is unknown."""
+    by_rule = F.when(rule == "black_friday", day_after_fourth_thursday(year)).when(rule == "last_friday_of_november", last_friday_of_november(year))
+    return F.when(date.isNotNull(), same_day_in(year, date)).otherwise(by_rule)
+
+
+def calendar_signal(days: DataFrame, calendar: DataFrame, lead_days: int = 21) -> DataFrame:
+    """For every ``day``: the first confirmed ``event`` (in the calendar's order) that lies on it or within the lead days after it, its date and
+    ``days_until``, the ``others`` in their windows, the ``unconfirmed`` ones and the ``unresolvable`` ones, each joined by ';'.
+
+    A calendar is a list of settings: it is sent to every day."""
+    both = days.select("day").distinct().crossJoin(F.broadcast(calendar))
+    on = both.withColumn("on", resolved_in(F.year("day"), F.col("date"), F.col("rule"))).withColumn("lead", F.coalesce("lead_days", F.lit(lead_days)))
+    hit = F.coalesce(F.col("confirmed") & in_lead_window(F.col("day"), F.col("on"), F.col("lead")), F.lit(False))
+    named = lambda c: F.sort_array(F.collect_list(F.when(c, F.struct("place", "name"))))
+    g = on.groupBy("day").agg(F.min(F.when(hit, F.struct("place", "name", "on"))).alias("e"), named(hit).alias("hits"), named(F.col("on").isNotNull() & ~F.col("confirmed")).alias("u"), named(F.col("on").isNull()).alias("r"))
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x["name"]), ";")
+    return g.select(
+        "day", F.col("e.name").alias("event"), F.col("e.on").alias("event_date"), F.date_diff("e.on", "day").alias("days_until"),
+        joined(F.slice("hits", F.lit(2), F.greatest(F.size("hits") - 1, F.lit(0)))).alias("others"), joined(F.col("u")).alias("unconfirmed"), joined(F.col("r")).alias("unresolvable"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -99,9 +100,106 @@ def feature_means(df: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.round(F.col(f"m{i}"), 6).alias("mean")) for i, c in enumerate(numeric)))).alias("x")).select("x.*")
 
 
+#: Compared where no engineered column can be made.
+OUTPUT_ONLY = ("predicted_label", "positive")
+
+
+def resolve_columns(reference: list[str], current: list[str], wanted: tuple[str, ...] | None, default: tuple[str, ...] = OUTPUT_ONLY) -> tuple[list[str], list[str]]:
+    """The wanted columns that both sides have, in their order, and those that are skipped; an error where none is left."""
+    wanted = tuple(dict.fromkeys(default if wanted is None else wanted))
+    present = [c for c in wanted if c in reference and c in current]
+    if not present:
+        raise ValueError(f"none of {', '.join(wanted)} is in both tables")
+    return present, [c for c in wanted if c not in present]
+
+
+def input_report(reference: DataFrame, current: DataFrame, engineer: Callable[[DataFrame], DataFrame] | None = None, text: str = "text",
+                 engineered: tuple[str, ...] = (), wanted: tuple[str, ...] | None = None) -> DataFrame:
+    """``column``, ``score``, ``decision``, ``reason`` of every wanted column; one that a side lacks is SKIPPED as absent.
+
+    With a text column the engineered columns are made and compared beside the outputs; without one the
+    outputs alone are."""
+    made = engineer is not None and text in reference.columns and text in current.columns
+    if made:
+        reference, current = engineer(reference), engineer(current)
+    present, skipped = resolve_columns(reference.columns, current.columns, wanted, (*OUTPUT_ONLY, *engineered) if made else OUTPUT_ONLY)
+    both = reference.select(F.lit(True).alias("__ref"), *present).unionByName(current.select(F.lit(False).alias("__ref"), *present))
+    text_like = ("string", "boolean")
+    categorical = [c for c in present if both.schema[c].dataType.typeName() in text_like]
+    scores = psi(both, F.col("__ref"), categorical, [c for c in present if c not in categorical])
+    absent = [(c, None, "SKIPPED", "absent") for c in skipped]
+    return scores.unionByName(scores.sparkSession.createDataFrame(absent, "column string, score double, decision string, reason string")) if absent else scores
+
+
+def class_psi(left: dict[str, Column], right: dict[str, Column], zero: float = ZERO_SHARE) -> Column:
+    """Stability index of two class mixes given as shares a class."""
+    f = [F.when((left[x] == 0) & (right[x] == 0), 0.0).otherwise((F.greatest(left[x], F.lit(zero)) - F.greatest(right[x], F.lit(zero))) * F.log(F.greatest(left[x], F.lit(zero)) / F.greatest(right[x], F.lit(zero)))) for x in left]
+    return reduce(lambda a, b: a + b, f)
+
+
+def prediction_report(current: DataFrame, reference: DataFrame, prior: DataFrame, history: DataFrame, inputs: DataFrame, day: str, labels: tuple[str, ...],
+                      window: int = 14, least: int = 7) -> DataFrame:
+    """One row: the output drift of a day.
+
+    ``current`` and ``reference`` have ``predicted_label`` and ``predicted_score``, ``prior`` has ``label``; ``history`` has ``day`` and
+    ``mean`` of other days, ``inputs`` ``day`` and ``decision``.  The mix against the prior decides; that against the reference panel
+    is context.  The confidence has its delta, whether it falls, and the z-score against the days before.  ``escalate`` is a falling confidence with a
+    prior index in WARN or FAIL.  A side without rows has null shares and SKIPPED."""
+    def mix(df: DataFrame, column: str, tag: str, *more: Column) -> DataFrame:
+        n = F.count_if(F.col(column).isin(*labels))
+        return df.agg(F.count(F.lit(1)).alias(f"n_{tag}"), *(F.try_divide(F.count_if(F.col(column) == x), n).alias(f"{tag}_{x}") for x in labels), *more)
+
+    one = mix(current, "predicted_label", "current", F.avg("predicted_score").alias("mean")).crossJoin(mix(reference, "predicted_label", "reference", F.avg("predicted_score").alias("reference_mean"))).crossJoin(mix(prior, "label", "prior"))
+    before = history.where((F.col("day") < F.lit(day).cast("date")) & F.col("mean").isNotNull()).orderBy(F.desc("day")).limit(window)  # a row a day
+    one = one.crossJoin(before.agg(F.count("mean").alias("n_before"), F.avg("mean").alias("m"), F.stddev_samp("mean").alias("s")))
+    one = one.crossJoin(inputs.where(F.col("day") == F.lit(day).cast("date")).agg(F.max("decision").alias("input_decision")))
+    side = lambda tag: {x: F.col(f"{tag}_{x}") for x in labels}
+    scores = {tag: F.round(class_psi(side(tag), side("current")), 4) for tag in ("prior", "reference")}
+    decision = lambda tag: F.when(scores[tag].isNull(), "SKIPPED").otherwise(band(scores[tag]))
+    delta = F.round(F.col("mean") - F.col("reference_mean"), 6)
+    out = one.select(
+        F.lit(day).alias("day"), "n_current", "n_reference", scores["prior"].alias("psi_prior"), decision("prior").alias("decision"), scores["reference"].alias("psi_reference"), decision("reference").alias("decision_reference"),
+        *(F.round((F.col(f"current_{x}") - F.col(f"prior_{x}")) * 100, 3).alias(f"delta_points_{x}") for x in labels),
+        F.round("mean", 6).alias("mean"), F.round("reference_mean", 6).alias("reference_mean"), delta.alias("delta"), (delta < 0).alias("falling"), "n_before",
+        F.when((F.col("n_before") >= least) & (F.col("s") > 0), F.round((F.col("mean") - F.col("m")) / F.col("s"), 3)).alias("z_score"), "input_decision")
+    return triage(out, "input_decision", "decision").withColumn("escalate", F.coalesce(F.col("falling") & F.col("decision").isin("WARN", "FAIL"), F.lit(False)))
+
+
+def daily_decisions(df: DataFrame, day: Column, column: str, zero: float = ZERO_SHARE) -> DataFrame:
+    """``day``, ``score``, ``decision``: the mix of a column on every day against its mix on all days.
+
+    What a day lacks is counted from the mix of all days, so no day is joined with every value."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(day.alias("day"), F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).where("day IS NOT NULL")
+    w = Window.partitionBy("day")  # over values, not rows
+    shares = counts.withColumn("c", F.col("n") / F.sum("n").over(w))
+    mix = counts.groupBy("value").agg(F.sum("n").alias("rn"))
+    total = mix.agg(F.sum("rn").alias("all_n"))
+    mix = mix.crossJoin(F.broadcast(total)).withColumn("r", F.col("rn") / F.col("all_n")).select("value", "r")  # total: one row
+    f = lambda r, c: (F.greatest(r, F.lit(zero)) - F.greatest(c, F.lit(zero))) * F.log(F.greatest(r, F.lit(zero)) / F.greatest(c, F.lit(zero)))
+    none = mix.agg(F.sum(f(F.col("r"), F.lit(0.0))).alias("none"))
+    per = shares.join(mix, "value").groupBy("day").agg(F.sum(f(F.col("r"), F.col("c")) - f(F.col("r"), F.lit(0.0))).alias("x"))
+    score = F.round(F.col("x") + F.col("none"), 4)
+    return per.crossJoin(F.broadcast(none)).select("day", score.alias("score"), band(score).alias("decision"))  # none: one row
+
+
+def triage_by_day(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
+    """Every day of the outputs with the input decision of that day, null where there is none, and the triage."""
+    joined = outputs.select("day", F.col("decision").alias("output_decision")).join(inputs.select("day", F.col("decision").alias("input_decision")), "day", "left")
+    return triage(joined, "input_decision", "output_decision").select("day", "input_decision", "output_decision", "triage")
+
+
+def worst_of(reports: list[tuple[str, list[str], DataFrame]]) -> DataFrame:
+    """``source``, ``column``, ``score`` of the failing column with the highest score over several reports; of equal
+    scores the one of the earlier report, then of the earlier column, wins."""
+    rows = []
+    for i, (source, columns, scores) in enumerate(reports):
+        at = F.array_position(F.array(*map(F.lit, columns)), F.col("column"))
+        rows.append(scores.where("decision = 'FAIL' AND score IS NOT NULL").select(F.lit(source).alias("source"), "column", "score", F.struct(-F.col("score"), F.lit(i), at).alias("o")))
+    return reduce(DataFrame.unionByName, rows).orderBy("o").limit(1).drop("o")
+
+
 def worst(scores: DataFrame) -> DataFrame:
     """The failing column with the highest score (first by name on ties), no row if none fails."""
     return scores.where("decision = 'FAIL' AND score IS NOT NULL").orderBy(F.desc("score"), "column").limit(1)
 
 
-__all__ = ["band", "feature_means", "long_form", "psi", "reduce", "rolling_confidence", "total_variation", "triage", "verdict", "worst"]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LABELS
+from ..functions.text import LABELS, numeric_or_null
 
 
 def confusion(df: DataFrame, truth: str, predicted: str, labels: tuple[str, ...] = LABELS) -> DataFrame:
@@ -72,14 +72,48 @@ def metric_diff(base: DataFrame, work: DataFrame, tolerance: float = 0.005, igno
     return out.select("path", "metric", F.round("old", 6).alias("old"), F.round("new", 6).alias("new"), F.round(diff, 6).alias("diff"), status.alias("status"))
 
 
-def top_run(runs: DataFrame, metric: str, by: str, name: str) -> DataFrame:
-    """Per group the run with the highest metric (first by name on ties)."""
-    return runs.where(F.col(metric).isNotNull()).groupBy(by).agg(F.max_by(F.struct(metric, name), F.struct(F.col(metric), F.lit(0))).alias("x")).select(by, f"x.{name}", f"x.{metric}")
+def metric_gate(base: DataFrame, work: DataFrame, tolerance: float = 0.005, fail_on_new: bool = False, ignore: str | None = None) -> DataFrame:
+    """``path``, ``metric``, ``old``, ``new``, ``diff``, ``status`` (PASS, FAIL, NEW), ``reason`` of two tables of metrics as text.
+
+    A metric that one side lacks, or whose values are no numbers (true and false are none), fails; a path of which the base has nothing
+    is NEW, or fails with ``fail_on_new``.  Metrics whose path or name matches ``ignore`` are left out."""
+    rows = metric_changes(base, work, ignore).where(~F.col("ignored"))
+    number = lambda c: numeric_or_null(F.col(c))
+    diff = number("new") - number("old")
+    reason = (
+        F.when(~F.col("known"), "new_file").when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(diff.isNull(), "malformed")
+        .when(F.abs(diff) > tolerance, "drift").otherwise("")
+    )
+    status = F.when(reason == "", "PASS").when(reason == "new_file", "FAIL" if fail_on_new else "NEW").otherwise("FAIL")
+    return rows.select("path", "metric", "old", "new", F.round(diff, 6).alias("diff"), status.alias("status"), reason.alias("reason"))
+
+
+def metric_changes(base: DataFrame, work: DataFrame, ignore: str | None = None) -> DataFrame:
+    """Both tables of ``path``, ``metric``, ``value`` side by side, with ``known`` (the base has the path) and ``ignored``."""
+    both = base.withColumnRenamed("value", "old").join(work.withColumnRenamed("value", "new"), ["path", "metric"], "full")
+    out = both.join(base.select("path").distinct().withColumn("known", F.lit(True)), "path", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    return out.withColumn("ignored", F.col("path").rlike(ignore) | F.col("metric").rlike(ignore) if ignore else F.lit(False))
+
+
+def gate_summary(base: DataFrame, work: DataFrame, tolerance: float = 0.005, fail_on_new: bool = False, ignore: str | None = None) -> DataFrame:
+    """One row: metrics compared, failed, new and ignored, and whether all passed."""
+    n = metric_gate(base, work, tolerance, fail_on_new, ignore).agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("status") == "FAIL").alias("failed"), F.count_if(F.col("status") == "NEW").alias("new"))
+    left = metric_changes(base, work, ignore).agg(F.count_if("ignored").alias("ignored"))
+    return n.crossJoin(left).withColumn("passed", F.col("failed") == 0)
+
+
+def call_stats(calls: DataFrame, size: int, serial_seconds: float | None = None, overhead_seconds: float = 0.0) -> DataFrame:
+    """One row over calls of ``items``, ``drain``, ``score`` (seconds): how full they were, how many items shared a call, items a second
+    of work, and the speed against a serial run with the same overhead a call.  Without calls all but the counts are null."""
+    work = F.sum(F.col("drain") + F.col("score"))
+    one = calls.agg(F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("items"), F.lit(0)).alias("items"), F.avg(F.col("items") / size).alias("f"), F.percentile(F.col("items") / size, F.lit(0.5)).alias("p"), work.alias("w"))
+    out = one.select("batches", "items", F.round("f", 6).alias("fill_ratio"), F.round("p", 6).alias("fill_p50"), F.round(F.try_divide("items", "batches"), 6).alias("amortization"), F.round("w", 6).alias("work_seconds"), F.round(F.try_divide("items", "w"), 6).alias("per_second"))
+    if serial_seconds is None:
+        return out
+    spent = F.col("work_seconds") + F.col("batches") * overhead_seconds
+    return out.withColumns({"speedup": F.round(F.try_divide(F.lit(serial_seconds), F.col("work_seconds")), 6), "speedup_with_overhead": F.round(F.try_divide(serial_seconds + F.col("items") * overhead_seconds, spent), 6)})
 
 
 def throughput(df: DataFrame, seconds: str, *by: str) -> DataFrame:
     """Calls, seconds, and calls a second per group; null where no time passed."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("calls"), F.round(F.sum(seconds), 6).alias("seconds")).withColumn("per_second", F.round(F.try_divide("calls", "seconds"), 6))
-
-
-__all__ = ["Window", "class_report", "confusion", "metric_diff", "overall", "parity", "percentiles", "throughput", "top_run"]

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from collections.abc import Callable
+from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import normalize, words
+from ..functions.text import LABELS, normalize, words
+from ..sources.files import read_state, write_state
 
 
 def vocabulary(df: DataFrame, text: str, least: int = 2) -> DataFrame:
@@ -45,14 +52,73 @@ class Basis:
     max_length: int = 0
     pooling: str = ""
 
+    requested: int = 0
+
     def incompatibility(self, encoder: str, max_length: int, pooling: str) -> tuple[str | None, str | None]:
         """(error, warning) of using the basis with other embeddings."""
-        error = None
-        if max_length != self.max_length:
-            error = f"max_length {max_length} is not {self.max_length}"
-        elif pooling != self.pooling:
-            error = f"pooling {pooling} is not {self.pooling}"
-        return error, None if encoder == self.encoder else f"encoder {encoder} is not {self.encoder}"
+        wrong = [f"{name} {given} is not {own}" for name, given, own in (("max_length", max_length, self.max_length), ("pooling", pooling, self.pooling)) if given != own]
+        return "; ".join(wrong) or None, None if encoder == self.encoder else f"encoder {encoder} is not {self.encoder}"
+
+
+def save_basis(spark: SparkSession, basis: Basis, path: str) -> None:
+    """The frozen basis as one JSON document, in place of an older one."""
+    write_state(spark, path, json.dumps(asdict(basis)))
+
+
+def load_basis(spark: SparkSession, path: str) -> Basis:
+    """The basis kept at a path; a missing one is an error, it must not be fitted anew for each comparison."""
+    text = read_state(spark, path)
+    if text is None:
+        raise FileNotFoundError(f"no basis at {path}: fit and save one on the reference")
+    d = json.loads(text)
+    return Basis(**d | {"mean": tuple(d["mean"]), "components": tuple(map(tuple, d["components"])), "explained": tuple(d["explained"])})
+
+
+def explained(spark: SparkSession, basis: Basis) -> DataFrame:
+    """``component`` (from 1), ``explained`` (share of the variance) and ``total`` up to it."""
+    rows = [(i + 1, float(v), float(sum(basis.explained[: i + 1]))) for i, v in enumerate(basis.explained)]
+    return spark.createDataFrame(rows, "component int, explained double, total double")
+
+
+def reference_panel(df: DataFrame, key: str, embedding: str, k: int, path: str, **about) -> DataFrame:
+    """The reference with its coordinates, in a basis that is fitted on it once and kept at ``path``."""
+    basis = fit_basis(df, embedding, k, **about)
+    save_basis(df.sparkSession, basis, path)
+    return project(df, embedding, basis)
+
+
+def row_confidence(df: DataFrame, labels: tuple[str, ...] = LABELS) -> Column:
+    """The confidence of a prediction: ``predicted_score`` where the table has it, else the highest of the class columns it has; an error where it has neither."""
+    if "predicted_score" in df.columns:
+        return F.col("predicted_score")
+    held = [c for c in labels if c in df.columns]
+    if not held:
+        raise ValueError("neither predicted_score nor a class column")
+    return F.greatest(*held) if len(held) > 1 else F.col(held[0])
+
+
+def masked_mean(states: Column, mask: Column) -> Column:
+    """Mean of the states (an array of arrays of one length) where the mask is set; zeros where it is set nowhere."""
+    weight = F.greatest(F.aggregate(mask, F.lit(0.0), lambda a, m: a + m), F.lit(1.0))
+    place = F.sequence(F.lit(0), F.size(states[0]) - 1)
+    return F.transform(place, lambda i: F.aggregate(F.zip_with(states, mask, lambda h, m: F.get(h, i) * m), F.lit(0.0), lambda a, x: a + x) / weight)
+
+
+def embedded(df: DataFrame, text: str, make_encoder: Callable[[], Callable[[list[str]], np.ndarray]], size: int = 32, out: str = "embedding") -> DataFrame:
+    """``df`` with the vector of an encoder that is made once a worker and called with at most ``size`` texts."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` array<double>"
+
+    def run(batches):
+        encode = make_encoder()
+        for whole in batches:
+            for i in range(0, len(whole), size):
+                b = whole.iloc[i : i + size]
+                m = np.asarray(encode([x or "" for x in b[text].tolist()]), float)
+                if m.ndim != 2 or len(m) != len(b):
+                    raise ValueError(f"the encoder gave {m.shape} for {len(b)} texts")
+                yield b.assign(**{out: list(m)})
+
+    return df.mapInPandas(run, schema)
 
 
 def fit_basis(df: DataFrame, embedding: str, k: int, **about) -> Basis:
@@ -61,22 +127,33 @@ def fit_basis(df: DataFrame, embedding: str, k: int, **about) -> Basis:
     if size[0] is None or size[0] != size[1]:
         raise ValueError("embeddings must all have one positive number of dimensions")
     d, n = size[0], size[2]
-    k = max(1, min(k, n, d))
+    asked, k = k, max(1, min(k, n, d))
     rows = df.where(F.size(embedding) > 0)
     mean = rows.agg(*(F.avg(F.col(embedding)[i].cast("double")).alias(f"m{i}") for i in range(d))).first()
     model = PCA(k=k, inputCol="v", outputCol="p").fit(rows.select(array_to_vector(F.col(embedding).cast("array<double>")).alias("v")))
-    pc = model.pc.toArray()
+    axes = model.pc.toArray()
     # the sign of a component is free: its largest entry is made positive
-    signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
-    return Basis(tuple(mean), tuple(tuple(pc[:, j] * signs[j]) for j in range(k)), tuple(model.explainedVariance.toArray()), n, **about)
+    signs = [1.0 if axes[abs(axes[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
+    return Basis(tuple(map(float, mean)), tuple(tuple(map(float, axes[:, j] * signs[j])) for j in range(k)), tuple(map(float, model.explainedVariance.toArray())), n, requested=asked, **about)
 
 
 def project(df: DataFrame, embedding: str, basis: Basis, prefix: str = "embedding_pc") -> DataFrame:
-    """``df`` with the centred coordinates in the basis, as column expressions."""
-    values = F.col(embedding).cast("array<double>")
-    centred = F.zip_with(values, F.array(*map(F.lit, basis.mean)), lambda x, m: x - m)
-    dot = lambda c: F.aggregate(F.zip_with(centred, F.array(*map(F.lit, c)), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
-    return df.withColumns({f"{prefix}{i + 1}": dot(c) for i, c in enumerate(basis.components)})
-
-
-__all__ = ["Basis", "fit_basis", "oov_bucket", "oov_rate", "project", "vector_to_array", "vocabulary"]
+    """``df`` with the centred coordinates in the basis: one matrix product an Arrow batch.  Null or empty vectors have null coordinates."""
+    mean, components = np.array(basis.mean), np.array(basis.components)
+    names = [f"{prefix}{i + 1}" for i in range(len(components))]
+    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
+    at = df.columns.index(embedding)
+
+    def run(batches):
+        for b in batches:
+            column = b.column(at)
+            size = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+            ok = size == len(mean)
+            if (~ok & (size > 0)).any():
+                raise ValueError(f"an embedding does not have the {len(mean)} dimensions of the basis")
+            flat = np.asarray(column.filter(pa.array(ok)).flatten()).astype(float).reshape(-1, len(mean))
+            out = np.full((len(components), b.num_rows), np.nan)
+            out[:, ok] = ((flat - mean) @ components.T).T
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, mask=~ok) for c in out)], names=[*b.schema.names, *names])
+
+    return df.mapInArrow(run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -57,14 +57,18 @@ def capped(df: DataFrame, label: str, capped_label: str, most: int, order: list[
 
 
 def not_yet_merged(new: DataFrame, held: DataFrame) -> DataFrame:
-    """Rows of ``new`` whose text is not held."""
-    return new.join(held.select("text").distinct(), "text", "left_anti")
+    """Rows of ``new`` whose text key is not held, with ``key``."""
+    key = lambda d: t.text_key(t.normalize(F.coalesce(d["text"], F.lit(""))))
+    return new.withColumn("key", key(new)).join(held.select(key(held).alias("key")).distinct(), "key", "left_anti")
 
 
-def merged(held: DataFrame, new: DataFrame) -> DataFrame:
-    """Held rows and the new ones whose text is not held, in the fixed columns: merging twice changes nothing."""
-    fill = lambda d: d.select(*(F.col(c) if c in d.columns else F.lit(None).cast(held.schema[c].dataType).alias(c) for c in MERGED))
-    return fill(held).unionByName(fill(not_yet_merged(new, held)))
+def merged(held: DataFrame, new: DataFrame, order: tuple[str, ...] = ("captured_at", "override_id")) -> DataFrame:
+    """Held rows, and of every text key that is not held the first new row, in the fixed columns: merging twice changes nothing.
+
+    A column that ``new`` lacks is '' where it is text, else null."""
+    empty = lambda c: F.lit("") if held.schema[c].dataType.simpleString() == "string" else F.lit(None).cast(held.schema[c].dataType)
+    fill = lambda d: d.select(*(F.col(c) if c in d.columns else empty(c).alias(c) for c in MERGED))
+    return fill(held).unionByName(fill(one_per_key(not_yet_merged(new, held), list(order))))
 
 
 def error_rates(df: DataFrame, predicted: str, corrected: str, domain: tuple[str, ...] = t.LABELS) -> DataFrame:
@@ -79,6 +83,3 @@ def first_per_day(df: DataFrame, day: str, key: str, order: str) -> DataFrame:
     """Repeats of an id within a day dropped: the first in order stays."""
     other = [c for c in df.columns if c not in (day, key)]
     return df.groupBy(day, key).agg(F.min_by(F.struct(*other), F.col(order)).alias("r")).select(day, key, "r.*")
-
-
-__all__ = ["MERGED", "Window", "capped", "error_rates", "first_per_day", "keyed", "merged", "not_yet_merged", "one_per_key", "rulings", "votes", "with_ids"]

@@ -60,7 +60,8 @@ def summary(df: DataFrame, labels: tuple[str, ...] = LABELS) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("predicted_score"), 6).alias("mean_score"), F.round(F.percentile("predicted_score", F.lit(0.5)), 6).alias("median_score"), *share)
 
 
-def masked_mean(states: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """Mean of the states where the mask is set (rows without any give zeros)."""
-    m = mask[..., None].astype(float)
-    return (states * m).sum(axis=1) / np.maximum(m.sum(axis=1), 1)
+def class_counts(df: DataFrame, labels: tuple[str, ...] = LABELS) -> DataFrame:
+    """``label``, ``n``, ``share`` of every predicted label, 0 for those that don't occur."""
+    one = df.agg(F.count(F.lit(1)).alias("all_n"), *(F.count_if(F.col("predicted_label") == x).alias(f"c{i}") for i, x in enumerate(labels)))
+    cells = F.array(*(F.struct(F.lit(x).alias("label"), F.col(f"c{i}").alias("n")) for i, x in enumerate(labels)))
+    return one.select("all_n", F.explode(cells).alias("x")).select("x.*", F.round(F.coalesce(F.try_divide("x.n", "all_n"), F.lit(0.0)), 6).alias("share"))

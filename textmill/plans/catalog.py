@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-MODULES = ("cleaning", "profiling", "panels", "drifting", "evaluating", "opinions", "streams", "files", "checking")
+MODULES = ("cleaning", "profiling", "panels", "drifting", "evaluating", "opinions", "streams", "files", "checking", "merging", "runs", "reports")
 
 
 def _load() -> None:

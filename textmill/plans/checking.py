@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import checks, dates
+from ..functions import checks
 from ..operators import scoring, splitting
 from .catalog import query
 from .panels import SCORE
@@ -48,16 +48,6 @@ def last_documents(spark, d):
     return checks.newest_per(read(spark, d, "documents").select("source", "doc_id"), "source", "doc_id", 10)
 
 
-@query("calendar_window", """WITH e AS (SELECT * FROM (VALUES ('founding', DATE '2026-02-22', true, 7), ('national', DATE '2026-09-23', true, 14), ('sale', DATE '2026-11-27', false, 10), ('year_end', DATE '2026-12-31', true, 3)) t(name, day, confirmed, lead_days)),
-x AS (SELECT DISTINCT batch_day::DATE AS today FROM feedback), j AS (SELECT today, name, day FROM x JOIN e ON confirmed AND day BETWEEN today AND today + lead_days)
-SELECT x.today, min(name) FILTER (WHERE day = f) AS event, count(name) AS in_window FROM x LEFT JOIN (SELECT *, min(day) OVER (PARTITION BY today) AS f FROM j) j USING (today) GROUP BY x.today""")
-def calendar_window(spark, d):
-    entries = spark.createDataFrame([("founding", "2026-02-22", True, 7), ("national", "2026-09-23", True, 14), ("sale", "2026-11-27", False, 10), ("year_end", "2026-12-31", True, 3)], "name string, day string, confirmed boolean, lead_days int").withColumn("day", F.to_date("day"))
-    days = read(spark, d, "feedback").select(F.to_date("batch_day").alias("today")).distinct()
-    hit = days.join(F.broadcast(entries.where("confirmed")), dates.in_lead_window(F.col("today"), F.col("day"), F.col("lead_days")), "left")  # a handful of calendar entries
-    return hit.groupBy("today").agg(F.min_by("name", F.struct("day", "name")).alias("event"), F.count("name").alias("in_window"))
-
-
 @query("same_prediction_lists", f"WITH {SCORE.format(t='text', f='splits')} SELECT row_id, (predicted_label = CASE WHEN round(positive, 1) >= greatest(round(negative, 1), round(neutral, 1)) THEN 'positive' WHEN round(negative, 1) >= round(neutral, 1) THEN 'negative' ELSE 'neutral' END) AS same FROM decided")
 def same_prediction_lists(spark, d):
     exact = scoring.expression_scored(read(spark, d, "splits").select("row_id", "text"), "text").withColumn("a", F.array(F.struct(F.col("predicted_label").alias("label"), F.col("predicted_score").alias("score"))))

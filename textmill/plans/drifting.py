@@ -89,17 +89,6 @@ def rolling_confidence(spark, d):
     return drift.rolling_confidence(_daily(spark, d).where("day IS NOT NULL"))
 
 
-_BAND = "CASE WHEN {c} < 0.5 THEN 'PASS' WHEN {c} < 1.0 THEN 'WARN' ELSE 'FAIL' END"
-
-
-@query("triage_days", _DAILY + f""", x AS (SELECT day, CASE WHEN day(day) % 5 = 0 THEN NULL WHEN day(day) % 2 = 0 THEN 'PASS' ELSE 'FAIL' END AS input_decision, CASE WHEN mean < 0.5 THEN 'PASS' ELSE 'WARN' END AS output_decision FROM g)
-SELECT *, CASE WHEN input_decision IS NULL THEN 'indeterminate' WHEN input_decision = 'PASS' AND output_decision = 'PASS' THEN 'stable' WHEN input_decision = 'PASS' THEN 'model_degraded' WHEN output_decision = 'PASS' THEN 'world_changed' ELSE 'ambiguous' END AS triage FROM x""")
-def triage_days(spark, d):
-    n = F.dayofmonth("day")
-    given = _daily(spark, d).select("day", F.when(n % 5 == 0, None).when(n % 2 == 0, "PASS").otherwise("FAIL").alias("input_decision"), F.when(F.col("mean") < 0.5, "PASS").otherwise("WARN").alias("output_decision"))
-    return drift.triage(given, "input_decision", "output_decision")
-
-
 @query("prediction_psi", f"WITH {SCORE.format(t='text', f='splits')}, {_psi_sql('decided', '(split = ' + chr(39) + 'train' + chr(39) + ')', ['predicted_label'], ['predicted_score'])} SELECT * FROM out")
 def prediction_psi(spark, d):
     return drift.psi(scoring.expression_scored(read(spark, d, "splits"), "text"), F.col("split") == "train", ["predicted_label"], ["predicted_score"])

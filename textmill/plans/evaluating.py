@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import evaluation as ev
 from ..operators import pairing, scoring
+from ..streaming.pairing import replayed
 from .catalog import query
 from .panels import SCORE
 from .tables import read
@@ -80,20 +81,18 @@ def metric_diff(spark, d):
     return ev.metric_diff(side(rows.where("review_id % 2 = 0 AND path <> 'Qafzet'")), side(rows.where("review_id % 2 = 1 AND metric <> 'neutral'")))
 
 
-@query("best_per_group", "SELECT company, arg_max(review_id, (n, review_id)) AS review_id, max(n) AS chars FROM (SELECT company, review_id, length(review_description) AS n FROM final_data WHERE company IS NOT NULL AND review_description IS NOT NULL) GROUP BY company")
-def best_per_group(spark, d):
-    rows = read(spark, d, "final_data").where("company IS NOT NULL AND review_description IS NOT NULL").select("company", "review_id", F.length("review_description").alias("n"))
-    return rows.groupBy("company").agg(F.max_by("review_id", F.struct("n", "review_id")).alias("review_id"), F.max("n").alias("chars"))
-
-
-_EV = "SELECT user_id::VARCHAR || '-' || strftime(date_trunc('hour', ts), '%Y%m%d%H') AS key, CASE WHEN event_id % 2 = 0 THEN 'stable' ELSE 'candidate' END AS worker, event_type AS label, ts FROM events"
+_EV = """SELECT event_id, user_id::VARCHAR || '-' || strftime(date_trunc('hour', ts), '%Y%m%d%H') AS key, CASE WHEN event_id % 2 = 0 THEN 'stable' ELSE 'candidate' END AS worker, event_type AS label, ts,
+  CASE WHEN event_id % 11 = 0 THEN '' ELSE '["' || event_type || '"]' END AS said, event_id % 5 <> 0 AS shadow, event_id % 3 = 0 AS has_id FROM events"""
 
 
 def telemetry(events):
-    ts = F.col("ts").cast("timestamp")
+    """Answers of two workers, made of the events: by parity of the event; a few without labels, not shadowed, or without a request id."""
+    ts, n = F.col("ts").cast("timestamp"), F.col("event_id")
+    key = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format(ts, "yyyyMMddHH"))
+    labels = F.when(n % 11 == 0, F.array().cast("array<string>")).otherwise(F.array("event_type"))
     return events.select(
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format(ts, "yyyyMMddHH")).alias("key"), F.when(F.col("event_id") % 2 == 0, "stable").otherwise("candidate").alias("worker"),
-        F.col("event_type").alias("label"), ts.alias("ts"))
+        key.alias("key"), F.when(n % 2 == 0, "stable").otherwise("candidate").alias("worker"), F.col("event_type").alias("label"), labels.alias("labels"), (n % 5 != 0).alias("shadow"),
+        F.when(n % 3 == 0, key).otherwise("").alias("request_id"), ts.alias("ts"))
 
 
 @query("paired_answers", f"""WITH e AS ({_EV}), g AS (SELECT key, min({{'ts': ts, 'label': label}}) FILTER (WHERE worker = 'stable') AS s, min({{'ts': ts, 'label': label}}) FILTER (WHERE worker = 'candidate') AS c FROM e GROUP BY key)
@@ -103,6 +102,29 @@ def paired_answers(spark, d):
     return pairing.pairs(telemetry(read(spark, d, "events")), 1800)
 
 
+# the state machine, one answer of every key at a time
+REPLAY = f"""WITH RECURSIVE e AS (SELECT *, epoch_ms(ts) AS ms, row_number() OVER (PARTITION BY key ORDER BY epoch_ms(ts), worker, said) AS i FROM ({_EV}) WHERE shadow OR has_id),
+m AS (SELECT max(ms) AS final_ms FROM e),
+st(key, i, created, s, c, sh, closed, out) AS (
+  SELECT key, 0::BIGINT, NULL::BIGINT, NULL::VARCHAR, NULL::VARCHAR, false, NULL::VARCHAR, NULL::VARCHAR FROM e WHERE i = 1
+  UNION ALL
+  SELECT key, i, CASE WHEN full_ THEN NULL ELSE created END, CASE WHEN full_ THEN NULL ELSE s END, CASE WHEN full_ THEN NULL ELSE c END, CASE WHEN full_ THEN false ELSE sh END, closed,
+    CASE WHEN full_ AND sh AND s <> '' AND c <> '' THEN CASE WHEN s = c THEN 'agree' ELSE 'disagree' END END
+  FROM (SELECT *, s IS NOT NULL AND c IS NOT NULL AS full_ FROM (
+    SELECT e.key, e.i, CASE WHEN st.created IS NULL OR e.ms - st.created >= 1800000 THEN e.ms ELSE st.created END AS created,
+      CASE WHEN e.worker = 'stable' THEN e.said WHEN e.ms - st.created < 1800000 THEN st.s END AS s, CASE WHEN e.worker = 'candidate' THEN e.said WHEN e.ms - st.created < 1800000 THEN st.c END AS c,
+      e.shadow OR (coalesce(e.ms - st.created < 1800000, false) AND st.sh) AS sh,
+      CASE WHEN e.ms - st.created >= 1800000 AND st.sh THEN CASE WHEN st.c IS NULL THEN 'gap_candidate' ELSE 'gap_stable' END END AS closed
+    FROM st JOIN e ON e.key = st.key AND e.i = st.i + 1))),
+o AS (SELECT key, closed AS outcome FROM st WHERE closed IS NOT NULL UNION ALL SELECT key, out FROM st WHERE out IS NOT NULL
+  UNION ALL SELECT st.key, CASE WHEN c IS NULL THEN 'gap_candidate' ELSE 'gap_stable' END FROM st JOIN (SELECT key, max(i) AS i FROM e GROUP BY key) z ON st.key = z.key AND st.i = z.i, m WHERE created + 1800000 <= final_ms AND sh)"""
+
+
+@query("replayed_pairs", REPLAY + " SELECT key, outcome FROM o")
+def replayed_pairs(spark, d):
+    return replayed(telemetry(read(spark, d, "events")), 1800)
+
+
 @query("window_metrics", "SELECT time_bucket(INTERVAL 60 MINUTES, ts) AS window_start, event_type, count(*) AS requests, round(avg((value > 100)::INT), 6) AS error_rate, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1, 2")
 def window_metrics(spark, d):
     m = pairing.window_metrics(read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), F.col("ts"), F.col("value") > 100, F.col("value"), 60, "event_type")

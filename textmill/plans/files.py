@@ -30,12 +30,15 @@ def csv_typed(spark, d):
     return files.read_csv(spark, path, "review_id bigint, rating string, company string")
 
 
-@query("json_report", "SELECT split, n, round(confidence, 6) AS confidence FROM (SELECT split, count(*) AS n, avg(dialect_confidence) AS confidence FROM splits GROUP BY split)")
+@query("json_report", "SELECT strftime(DATE '2026-01-01' + row_number() OVER (ORDER BY split)::INT, '%Y-%m-%d') AS day, split, n, round(confidence, 6) AS confidence FROM (SELECT split, count(*) AS n, avg(dialect_confidence) AS confidence FROM splits GROUP BY split)")
 def json_report(spark, d):
+    """A report a split, each a JSON file named by a day."""
     path = _path(spark, "json")
     g = read(spark, d, "splits").groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("dialect_confidence").alias("confidence"))
-    g.write.json(path)
-    return spark.read.schema("split string, n bigint, confidence double").json(path).withColumn("confidence", F.round("confidence", 6))
+    for i, r in enumerate(g.orderBy("split").toJSON().collect()):  # a row a split
+        files.write_state(spark, f"{path}/2026-01-{i + 2:02d}.json", r)
+    out = files.read_json_reports(spark, path, "split string, n bigint, confidence double")
+    return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "report.split", "report.n", F.round("report.confidence", 6).alias("confidence"))
 
 
 @query("day_partitions", "SELECT batch_day::DATE AS batch_day, count(*) AS n FROM feedback GROUP BY 1")

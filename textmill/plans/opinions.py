@@ -60,13 +60,12 @@ def feedback_capped(spark, d):
     return fb.capped(read(spark, d, "train_feedback"), "label", "neutral", 100, ["captured_at", "override_id"]).select("override_id", "label")
 
 
-_NEW = "SELECT text, corrected_label AS label, company, guideline_version, model_label, model_version, captured_at, override_id FROM feedback"
-
-
-@query("feedback_merged", f"SELECT text, label, source, override_id FROM train_feedback UNION ALL SELECT text, label, NULL AS source, override_id FROM ({_NEW}) WHERE text NOT IN (SELECT text FROM train_feedback WHERE text IS NOT NULL)")
+@query("feedback_merged", f"""WITH {_KEYED}, h AS (SELECT DISTINCT {q.key('x.norm')} AS key FROM (WITH {q.normal_cte('train_feedback', "coalesce(text, '')", 'override_id')} SELECT * FROM n) x),
+new AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY captured_at, override_id) AS r FROM f WHERE key NOT IN (SELECT key FROM h)) WHERE r = 1)
+SELECT text, label, source, override_id, qa_status, is_near_empty FROM train_feedback UNION ALL SELECT text, corrected_label, '', override_id, '', NULL FROM new""")
 def feedback_merged(spark, d):
     new = read(spark, d, "feedback").withColumn("label", F.col("corrected_label"))
-    return fb.merged(read(spark, d, "train_feedback"), new).select("text", "label", "source", "override_id")
+    return fb.merged(read(spark, d, "train_feedback"), new).select("text", "label", "source", "override_id", "qa_status", "is_near_empty")
 
 
 @query("feedback_pending", "SELECT count(*) AS rows, count(*) FILTER (WHERE override_id NOT IN (SELECT override_id FROM train_feedback)) AS pending FROM overrides WHERE route = 'train'")
@@ -89,7 +88,7 @@ def captures_per_day(spark, d):
 
 @query("late_captures", "SELECT batch_day, count(*) AS n, count(*) FILTER (WHERE (captured_at::TIMESTAMPTZ AT TIME ZONE 'UTC')::DATE < batch_day::DATE) AS late FROM feedback GROUP BY batch_day")
 def late_captures(spark, d):
-    return read(spark, d, "feedback").groupBy("batch_day").agg(F.count(F.lit(1)).alias("n"), F.count_if(dates.utc_day(F.col("captured_at")) < F.to_date("batch_day")).alias("late"))
+    return read(spark, d, "feedback").groupBy("batch_day").agg(F.count(F.lit(1)).alias("n"), F.count_if(dates.utc_day(F.col("captured_at")) < F.col("batch_day").try_cast("date")).alias("late"))
 
 
 @query("second_agent", f"""WITH {_KEYED}, a AS (SELECT key, list_sort(list(DISTINCT trim(agent_id))) AS agents FROM f WHERE trim(agent_id) <> '' GROUP BY key)
