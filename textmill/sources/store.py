@@ -10,8 +10,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_USED: set[str] = set()
+
+
+def _swept(spark: SparkSession) -> None:
+    """What an application wrote goes when its Python ends, if its session is still there."""
+    try:
+        clean(spark)
+    except Exception:  # noqa: BLE001  the session was stopped before: the folder is left to its owner
+        pass
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """This application's part of the folder in ``spark.checkpoint.dir``.
+    """This application's part of the folder in ``spark.checkpoint.dir``, removed when its Python ends.
 
     In local mode a temporary folder stands in where the session names none, and goes when Python ends.  On a
     cluster a machine-local folder would not be shared, so there the setting is needed."""
@@ -24,6 +35,9 @@ def shared_folder(spark: SparkSession) -> str:
         atexit.register(shutil.rmtree, made, True)
         folder = f"file://{made}"
         spark.conf.set("spark.checkpoint.dir", folder)
+    if sc.applicationId not in _USED:
+        _USED.add(sc.applicationId)
+        atexit.register(_swept, spark)
     return f"{folder.rstrip('/')}/textmill-{sc.applicationId}"
 
 

@@ -158,7 +158,7 @@ def chunk_stats(df: DataFrame, order: str, size: int = 32, parts: int = 256) ->
     return calls.select("part", "call", items.alias("items"), F.round(items / size, 6).alias("fill_ratio"))
 
 
-def paired(df: DataFrame, ttl_seconds: int = 30, delay: str = "0 seconds", most: int | None = 4096) -> DataFrame:
+def paired(df: DataFrame, ttl_seconds: int = 30, delay_seconds: int = 0, most: int | None = 4096) -> DataFrame:
     """``key``, ``outcome`` of a stream of ``key``, ``worker``, ``labels`` (array), ``shadow``, ``request_id``, ``ts``; state lives in the
     state store, which has to be RocksDB (``spark.sql.streaming.stateStore.providerClass``).
 
@@ -168,7 +168,7 @@ def paired(df: DataFrame, ttl_seconds: int = 30, delay: str = "0 seconds", most:
     share = None if most is None else max(1, most // lanes)
     said = F.when(F.size("labels") > 0, F.to_json("labels")).otherwise("")
     rows = eligible.select(F.pmod(F.xxhash64("key"), F.lit(lanes)).cast("int").alias("lane"), "key", "worker", said.alias("said"), F.coalesce("shadow", F.lit(False)).alias("shadow"), "ts")
-    return rows.withWatermark("ts", delay).groupBy("lane").transformWithStateInPandas(pairing_processor(ttl_seconds * 1000, share), "key string, outcome string", "append", "eventtime")
+    return rows.withWatermark("ts", f"{delay_seconds} seconds").groupBy("lane").transformWithStateInPandas(pairing_processor(ttl_seconds * 1000, share, delay_seconds * 1000), "key string, outcome string", "append", "eventtime")
 
 
 def windowed_counts(df: DataFrame, ts: str, minutes: int, *by: str, delay: str = "1 hour") -> DataFrame:

@@ -15,7 +15,7 @@ a row.  An answer that comes ``ttl`` or more after the opening closes the pair f
 ends for its age with one side only is a gap of the other worker; one that is put out for want of room is none."""
 
 
-def pairing_processor(ttl_ms: int, most: int | None) -> StatefulProcessor:
+def pairing_processor(ttl_ms: int, most: int | None, delay_ms: int = 0) -> StatefulProcessor:
     """A processor of rows ``key``, ``worker``, ``said``, ``shadow``, ``ts`` of one lane.
 
     The class is made here so that it travels to the workers by value: they need not know this package."""
@@ -73,6 +73,11 @@ def pairing_processor(ttl_ms: int, most: int | None) -> StatefulProcessor:
                         del now[k]
                         if pair[3] and pair[1] and pair[2]:
                             out.append((k, "agree" if pair[1] == pair[2] else "disagree"))
+                # the watermark will be here at least after this batch: no later answer can join a pair that is over by then
+                horizon = int(max(times)) - delay_ms
+                for k in [k for k, v in now.items() if v[0] + ttl_ms <= horizon]:
+                    if gap := self._gap(now.pop(k)):
+                        out.append((k, gap))
             self._store(before, now)
             yield pd.DataFrame(out, columns=["key", "outcome"])
 
