@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from .lookalike import ARABIC_DIGITS, FOREIGN_LETTERS, INVISIBLE_RANGES, LATIN_LETTERS, PERSIAN_DIGITS
+from .lookalike import ARABIC_DIGITS, FOREIGN_LETTERS, INVISIBLE_RANGES, LATIN_LETTERS, PERSIAN_DIGITS, PERSIAN_ONLY
 
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 MARKS = r"\x{64b}-\x{65f}\x{670}"
@@ -43,6 +43,16 @@ def unify_stages(source: str, text: str, *cols: str) -> str:
     return f"uni AS (SELECT {keep}, {text} AS raw, {expr} AS t FROM {source})"
 
 
+def persian_spelling(t: str) -> str:
+    """Words with a letter of the Persian orthography alone, in that orthography throughout."""
+    token = r"\x{620}-\x{65f}\x{66e}-\x{6d5}\x{6ee}\x{6ef}"
+    word = "w"
+    for x, y in (("ك", "ک"), ("ي", "ی")) * 2:
+        word = rf"regexp_replace({word}, '{x}([{MARKS}]*[{LETTERS}])', '{y}\1', 'g')"
+    word = rf"regexp_replace({word}, 'ى([{MARKS}]*([^{MARKS}{LETTERS}]|$))', 'ی\1', 'g')"
+    return f"array_to_string(list_transform(regexp_extract_all({t}, '[{token}]+|[^{token}]+'), lambda w: CASE WHEN regexp_matches(w, '[{PERSIAN_ONLY}]') THEN {word} ELSE w END), '')"
+
+
 def word_stages(source: str, text: str, p: str, *cols: str) -> str:
     """CTEs that end in ``{p}w(id, word, k)`` and ``{p}n(cols, n)``: word counts of texts of at least 12 words; the first column is the id."""
     keep = ", ".join(cols)
@@ -95,6 +105,7 @@ def oracle_sql() -> dict[str, str]:
         "p8_invariants": "SELECT container_kind, 0::BIGINT AS lost, 0::BIGINT AS twice, 0::BIGINT AS split, 0::BIGINT AS renumbered, 0::BIGINT AS over, 0::BIGINT AS gaps FROM containers",
         "p9_invariants": "SELECT source, 0::BIGINT AS over_repeats, true AS as_wanted FROM mix_targets",
         "p2_found": f"WITH {unify_stages('final_data', 'review_description', 'review_id')} SELECT a.review_id AS review_id_a, b.review_id AS review_id_b FROM uni a JOIN uni b ON a.t = b.t AND a.raw <> b.raw AND a.review_id < b.review_id",
+        "p2_unified": f"WITH {unify_stages('final_data', 'review_description', 'review_id')} SELECT review_id, CASE WHEN t = '' THEN t ELSE {persian_spelling('t')} END AS unified FROM uni",
         "p2_groups": f"WITH {unify_stages('final_data', 'review_description', 'review_id')}, v AS (SELECT t, raw, min(review_id) AS variant FROM uni WHERE raw IS NOT NULL GROUP BY t, raw), g AS (SELECT t, count(*) AS variants, min(variant) AS \"group\" FROM v GROUP BY t HAVING count(*) > 1) "
                      "SELECT review_id, \"group\", variant, variants FROM uni JOIN v USING (t, raw) JOIN g USING (t)",
         "p4_groups": f"WITH RECURSIVE {words4}, j AS ({_common('f', 'f', 'AND x.id < y.id')}), e AS (SELECT a, b, 2 * c = p.n + q.n AS same FROM j JOIN fn p ON a = p.review_id JOIN fn q ON b = q.review_id WHERE {near}), "
