@@ -1,5 +1,6 @@
 """Operators on small tables against plain Python."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -128,6 +129,21 @@ def test_ranks_follow_the_hash(spark):
         assert [r["rank"] for r in part] == list(range(1, len(part) + 1))
 
 
+@pytest.mark.parametrize("n", [0, 5, 70_000, 140_000])
+def test_fingerprint_at_any_size(spark, n):
+    """The plain sum while a long holds it; past 2**63 and 2**64 (about 65,536 and 131,072 rows) that sum in 64 bits."""
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("ن"), "id")).alias("text"))
+    whole = sum(int(hashlib.sha256(f"{i}\x1f{f'ن{i}' if i % 3 else chr(0)}".encode()).hexdigest()[:12], 16) for i in range(n))
+    assert (whole < 2**63) == (n < 65_000) and (whole < 2**64) == (n < 130_000)
+    got = splitting.fingerprint(df, "id", "text")
+    assert got.dtypes == [("rows", "bigint"), ("content", "bigint")]
+    want = [(n, (whole + 2**63) % 2**64 - 2**63 if n else None)]
+    assert rows(got) == rows(splitting.fingerprint(df.repartition(7, "text"), "id", "text")) == want
+    if n:
+        changed = df.withColumn("text", F.when(F.col("id") == n - 1, "other").otherwise(F.col("text")))
+        assert rows(splitting.fingerprint(changed, "id", "text")) != want
+
+
 def test_psi_against_numpy(spark):
     r = np.random.default_rng(3)
     a, b = r.normal(0, 1, 700), r.normal(0.5, 1.2, 600)

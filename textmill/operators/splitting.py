@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +57,12 @@ def daily_sample(df: DataFrame, key: str, day: str, n: int, least: int = 0) -> D
 
 
 def fingerprint(df: DataFrame, *columns: str) -> DataFrame:
-    """One row, whatever the order of the rows: their number and a sum of hashes of their content."""
+    """One row, whatever the order of the rows: their number and a sum of hashes of their content.
+
+    Pieces of 48 bits pass a long after about 65,536 rows, so they are summed as decimals; ``content`` is that
+    sum in 64 bits with a sign (modulo 2**64), the plain sum as long as a long holds it."""
     row = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns)), 256)
-    piece = F.conv(F.substring(row, 1, 12), 16, 10).cast("long")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(piece).alias("content"))
+    piece = F.conv(F.substring(row, 1, 12), 16, 10).cast("decimal(20,0)")
+    half = F.lit(Decimal(2**63))
+    content = (F.pmod(F.sum(piece) + half, F.lit(Decimal(2**64))) - half).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("rows"), content.alias("content"))
